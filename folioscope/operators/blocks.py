@@ -30,6 +30,11 @@ def vector_columns(features: DataFrame) -> list[str]:
     return ["term_idx", "weight"] if is_sparse(features) else ["embedding"]
 
 
+def distinct_columns(df: DataFrame) -> DataFrame:
+    """The same rows under new column identities, so that a table can meet itself."""
+    return df.select(*[F.col(c).alias(c) for c in df.columns])
+
+
 def entries(features: DataFrame) -> Column:
     """Numbers stored in one row, at least one so that empty rows count too."""
     return F.greatest(F.size(vector_columns(features)[-1]), F.lit(1))

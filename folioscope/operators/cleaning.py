@@ -116,12 +116,12 @@ def _lookup_by_join(
     hot = mapping.orderBy(F.desc("n"), "form").limit(broadcast_rows).select("form", F.col("lemma").alias("hot_lemma"))
     tail = mapping.select("form", "lemma").join(F.broadcast(hot.select("form")), "form", "left_anti")
 
-    placed = F.concat(
-        *[
-            F.transform(tx.words(c), lambda w, i, n=n: F.struct(F.lit(n).alias("field"), i.alias("pos"), w.alias("form")))
-            for n, c in enumerate(columns)
-        ]
-    )
+    def in_place(n: int, c: str) -> Column:
+        return F.transform(
+            tx.words(c), lambda w, i: F.struct(F.lit(n).alias("field"), i.alias("pos"), w.alias("form"))
+        )
+
+    placed = F.concat(*[in_place(n, c) for n, c in enumerate(columns)])
     occurrences = df.select(key, F.explode(placed).alias("o")).select(key, "o.*").join(F.broadcast(hot), "form", "left")
     open_words = F.col("hot_lemma").isNull() & F.col("form").rlike(INFLECTED)
     settled = occurrences.where(~open_words).withColumn("word", F.coalesce("hot_lemma", "form"))

@@ -27,12 +27,15 @@ def last_wins(papers: DataFrame) -> DataFrame:
 
 
 def search(papers: DataFrame, query: str, top_k: int = SEARCH_LIMIT, regex: bool = False) -> DataFrame:
-    """Papers whose title or abstract contains the query, in corpus order. ``regex`` matches it as a pattern."""
+    """Papers whose title or abstract contains the query, in corpus order.
+
+    ``regex`` matches it as a pattern instead, with Unicode word, digit and blank classes.
+    """
     needle = query.lower().strip()
 
     def hit(column: str):
         lowered = F.lower(column)
-        return F.coalesce(lowered.rlike(needle) if regex else lowered.contains(needle), F.lit(False))
+        return F.coalesce(lowered.rlike("(?U)" + needle) if regex else lowered.contains(needle), F.lit(False))
 
     found = papers.where(hit("title") | hit("abstract")).orderBy("seq").limit(top_k)
     return found.select(

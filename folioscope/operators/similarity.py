@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from folioscope.functions import text as tx
-from folioscope.operators.blocks import STEP, Rows, Scorer, entries, vector_columns
+from folioscope.operators.blocks import STEP, Rows, Scorer, distinct_columns, entries, vector_columns
 from folioscope.settings import LIMITS, PREVIEW_CHARS, TOP_K, Limits
 
 # Scores are compared after rounding to 6 decimals and shown with 4.
@@ -107,7 +107,7 @@ def _by_blocks(features: DataFrame, query_rows: DataFrame, k: int, query_blocks:
             return _ARROW.empty_table()
         return _score_all(_Best(Rows.read(query_table).unit(), k), row_table.to_batches(max_chunksize=10_000))
 
-    return rows.groupBy("rb", "qb").cogroup(asked.groupBy("rb", "qb")).applyInArrow(run, CANDIDATES)
+    return rows.groupBy("rb", "qb").cogroup(distinct_columns(asked).groupBy("rb", "qb")).applyInArrow(run, CANDIDATES)
 
 
 def topk(features: DataFrame, queries: DataFrame, k: int = TOP_K, limits: Limits = LIMITS) -> DataFrame:
