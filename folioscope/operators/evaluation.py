@@ -6,7 +6,7 @@ table, ranked to the largest K.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from folioscope.functions.sampling import sample_key
 from folioscope.functions.text import primary_category
 from folioscope.operators.blocks import is_sparse
+from folioscope.operators.carry import carrier
 from folioscope.settings import EVAL_QUERIES, LIMITS, SEED, Limits
 
 METRIC_DIGITS = 4
@@ -33,15 +34,6 @@ def with_primary_category(papers: DataFrame) -> DataFrame:
     return papers.select("id", primary_category("categories").alias("primary_category"))
 
 
-def carrier(results: DataFrame, limits: Limits = LIMITS) -> Callable[[DataFrame], DataFrame]:
-    """How to ship tables of at most as many rows as ``results``: by broadcast within ``broadcast_rows``, else as is.
-
-    The count stops at the bound.
-    """
-    small = results.limit(limits.broadcast_rows + 1).count() <= limits.broadcast_rows
-    return F.broadcast if small else lambda df: df
-
-
 def judge(ranked: DataFrame, categories: DataFrame, limits: Limits = LIMITS) -> DataFrame:
     """Adds ``relevant``. A null category equals nothing; results and queries unknown to the corpus drop out.
 

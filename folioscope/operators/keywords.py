@@ -19,7 +19,7 @@ NO_KEYWORDS = "(keyword extraction failed)"
 def cluster_sizes(clusters: DataFrame) -> DataFrame:
     """``(cluster_id, size, share)``."""
     sizes = clusters.groupBy("cluster_id").agg(F.count("*").alias("size"))
-    total = F.sum("size").over(Window.partitionBy())
+    total = clusters.agg(F.count("*").alias("total")).scalar()
     return sizes.select("cluster_id", "size", (F.col("size") / total).alias("share"))
 
 

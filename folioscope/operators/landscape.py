@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from folioscope.functions.sampling import sample_key
+from folioscope.operators.carry import carrier
 from folioscope.operators.keywords import cluster_sizes, keyword_labels
 from folioscope.settings import MAP_COLOURS, MAP_POINTS, SEED
 
@@ -24,14 +25,13 @@ def stratified_sample(
     quota exceeds ``max_points``, which is stated as a rank limit of its own: it is pushed below the shuffle, so a
     huge cluster sends at most that many rows per task.
     """
-    sizes = cluster_sizes(clusters)
     quota = F.greatest(F.lit(1), F.floor(max_points * F.col("share"))).cast("int")
-    quotas = sizes.select("cluster_id", quota.alias("quota"), F.sum("size").over(Window.partitionBy()).alias("total"))
+    quotas = cluster_sizes(clusters).select("cluster_id", quota.alias("quota"))
     drawn = Window.partitionBy("cluster_id").orderBy(sample_key(seed), "id")
     first = clusters.select("id", "cluster_id").withColumn("r", F.row_number().over(drawn)).where(F.col("r") <= max_points)
-    small_enough = F.col("total") <= max_points
-    sample = first.join(F.broadcast(quotas), "cluster_id").where(small_enough | (F.col("r") <= F.col("quota")))
-    chosen = sample.select("id", "cluster_id")
+    total = clusters.agg(F.count("*").alias("total")).scalar()
+    sample = first.join(quotas, "cluster_id").withColumn("total", total)
+    chosen = sample.where((F.col("total") <= max_points) | (F.col("r") <= F.col("quota"))).select("id", "cluster_id")
     if highlight is not None:
         chosen = chosen.unionByName(clusters.where(F.col("id") == highlight).select("id", "cluster_id")).distinct()
     return chosen
@@ -62,8 +62,10 @@ def map_points(
 ) -> DataFrame:
     """``(id, cluster_id, cx, cy, color_idx, label, highlighted, shown, total)`` for the points of the map."""
     sample = stratified_sample(clusters, max_points, seed, highlight)
-    placed = viewport(coords.select("id", "x", "y").join(F.broadcast(sample), "id"))
-    named = placed.join(F.broadcast(keyword_labels(keywords)), "cluster_id", "left")
+    # a sample has at most one row per map point and cluster
+    placed = viewport(coords.select("id", "x", "y").join(carrier(sample)(sample), "id"))
+    labels = keyword_labels(keywords)
+    named = placed.join(carrier(labels)(labels), "cluster_id", "left")
     fallback = F.concat(F.lit("Cluster "), F.col("cluster_id").cast("string"))
     chosen = F.col("id") == highlight if highlight is not None else F.lit(False)
     return named.select(
@@ -74,7 +76,7 @@ def map_points(
         (F.col("cluster_id") % MAP_COLOURS).alias("color_idx"),
         F.coalesce("label", fallback).alias("label"),
         chosen.alias("highlighted"),
-        F.count("*").over(Window.partitionBy()).alias("shown"),
+        sample.agg(F.count("*").alias("shown")).scalar().alias("shown"),
         clusters.agg(F.count("*").alias("total")).scalar().alias("total"),
     )
 

@@ -15,7 +15,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from folioscope.functions import text as tx
-from folioscope.operators.blocks import STEP, Rows, Scorer, distinct_columns, entries, vector_columns
+from folioscope.operators.blocks import STEP, Rows, Scorer, distinct_columns, entries, few_tasks, vector_columns
+from folioscope.operators.carry import carrier
 from folioscope.settings import LIMITS, PREVIEW_CHARS, TOP_K, Limits
 
 # Scores are compared after rounding to 6 decimals and shown with 4.
@@ -74,19 +75,21 @@ def _score_all(best: _Best, tables: Iterator[pa.RecordBatch | pa.Table]) -> pa.T
     return best.table()
 
 
-def _query_rows(queries: DataFrame, features: DataFrame) -> DataFrame:
+def _query_rows(queries: DataFrame, features: DataFrame, limits: Limits) -> DataFrame:
     """Feature rows of the queried ids; unknown ids drop out, repeated ids count once."""
     wanted = queries.select(F.col("query_id").alias("id")).distinct()
-    return features.join(wanted, "id", "left_semi").select("id", "seq", *vector_columns(features))
+    return features.join(carrier(queries, limits)(wanted), "id", "left_semi").select(
+        "id", "seq", *vector_columns(features)
+    )
 
 
-def _by_broadcast(features: DataFrame, query_rows: DataFrame, k: int) -> DataFrame:
-    shipped = features.sparkSession.sparkContext.broadcast(query_rows.toArrow())
+def _by_broadcast(features: DataFrame, query_table: pa.Table, k: int) -> DataFrame:
+    shipped = features.sparkSession.sparkContext.broadcast(query_table)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from _score_all(_Best(Rows.read(shipped.value).unit(), k), batches).to_batches()
 
-    return features.select("id", "seq", *vector_columns(features)).mapInArrow(run, CANDIDATES)
+    return few_tasks(features.select("id", "seq", *vector_columns(features))).mapInArrow(run, CANDIDATES)
 
 
 def _by_blocks(features: DataFrame, query_rows: DataFrame, k: int, query_blocks: int, row_blocks: int) -> DataFrame:
@@ -119,13 +122,18 @@ def topk(features: DataFrame, queries: DataFrame, k: int = TOP_K, limits: Limits
     """
     if k < 0:
         raise ValueError("k must not be negative")
-    query_rows = _query_rows(queries, features)
-    size = query_rows.agg(F.sum(entries(features).cast("long")).alias("n")).first().n or 0
-    if k == 0 or size == 0:
-        empty = features.sparkSession.createDataFrame([], CANDIDATES)
-        return empty.withColumn("rank", F.lit(0)).select("query_id", "rank", "id", "seq", "score")
-    if size <= limits.block_entries:
-        found = _by_broadcast(features, query_rows, k)
+    # measured, then fetched: kept so that the features are scanned once for both
+    query_rows = _query_rows(queries, features, limits).cache()
+    try:
+        size = query_rows.agg(F.sum(entries(features).cast("long")).alias("n")).first().n or 0
+        if k == 0 or size == 0:
+            empty = features.sparkSession.createDataFrame([], CANDIDATES)
+            return empty.withColumn("rank", F.lit(0)).select("query_id", "rank", "id", "seq", "score")
+        query_table = query_rows.toArrow() if size <= limits.block_entries else None
+    finally:
+        query_rows.unpersist()
+    if query_table is not None:
+        found = _by_broadcast(features, query_table, k)
     else:
         total = features.agg(F.sum(entries(features).cast("long")).alias("n")).first().n
         found = _by_blocks(
@@ -136,15 +144,19 @@ def topk(features: DataFrame, queries: DataFrame, k: int = TOP_K, limits: Limits
     return ranked.select("query_id", "rank", "id", "seq", "score")
 
 
-def with_metadata(ranked: DataFrame, papers: DataFrame) -> DataFrame:
+def with_metadata(
+    ranked: DataFrame, papers: DataFrame, at_most: int | None = None, limits: Limits = LIMITS
+) -> DataFrame:
     """Result rows with title, abstract preview, authors and categories; score shown with 4 decimals.
 
-    The ranked side is at most queries x K rows and lets the planner pick its join; only matching papers are kept.
+    The results, not the papers, travel to the join when they are within ``broadcast_rows``. ``at_most`` is a known
+    bound on the number of results; without it they are counted, so pass a stored table.
     """
+    ship = carrier(ranked, limits, at_most)
     details = papers.select(
         "id", "title", tx.ellipsize("abstract", PREVIEW_CHARS).alias("abstract"), "authors", "categories"
     )
-    return ranked.join(details, "id").select(
+    return details.join(ship(ranked), "id").select(
         "query_id",
         "rank",
         "id",
@@ -156,14 +168,21 @@ def with_metadata(ranked: DataFrame, papers: DataFrame) -> DataFrame:
     )
 
 
+def recommend_many(
+    papers: DataFrame, features: DataFrame, queries: DataFrame, k: int = TOP_K, limits: Limits = LIMITS
+) -> DataFrame:
+    """Similar papers with metadata for every queried id; unknown ids have no rows."""
+    return with_metadata(topk(features, queries, k, limits), papers, queries.count() * k, limits)
+
+
 def recommend(
     papers: DataFrame, features: DataFrame, paper_id: str, k: int = TOP_K, limits: Limits = LIMITS
 ) -> DataFrame:
     """Similar papers for one id; an unknown id is an error."""
-    query = features.where(F.col("id") == paper_id).select(F.col("id").alias("query_id"))
-    if not query.take(1):
+    query = features.sparkSession.createDataFrame([(paper_id,)], "query_id string")
+    if not features.where(F.col("id") == paper_id).take(1):
         raise ValueError(f"Paper ID '{paper_id}' not found in the dataset.")
-    return with_metadata(topk(features, query, k, limits), papers).orderBy("rank")
+    return recommend_many(papers, features, query, k, limits).orderBy("rank")
 
 
 def requested_k(k: str = "k", default: int = TOP_K):
@@ -190,14 +209,18 @@ def answer_requests(
     ones a single ``error`` row with a message. Lists are ranked once, to the largest K asked for.
     """
     asked = requests.select("request_id", "paper_id", requested_k("k", default_k).alias("top_k"))
-    known = features.select(F.col("id").alias("paper_id")).join(asked.select("paper_id").distinct(), "paper_id", "left_semi")
-    valid = asked.join(known, "paper_id", "left_semi")
-    most = valid.agg(F.max("top_k").alias("k")).first().k or 0
-    most = min(most, features.count()) if most > TOP_K else most
-    lists = topk(features, valid.select(F.col("paper_id").alias("query_id")), int(most), limits)
-    results = with_metadata(lists, papers).withColumnRenamed("query_id", "paper_id")
-    flagged = asked.join(known.withColumn("_known", F.lit(True)), "paper_id", "left")
-    wanted = flagged.join(results, "paper_id", "left").where(
+    named = asked.groupBy("paper_id").agg(F.max("top_k").alias("k"))
+    ids = features.select(F.col("id").alias("paper_id"))
+    known = ids.join(carrier(requests, limits)(named), "paper_id")
+    size = known.agg(F.count("*").alias("n"), F.max("k").alias("k")).first()
+    most = min(size.k or 0, features.count()) if (size.k or 0) > TOP_K else size.k or 0
+    lists = topk(features, known.select(F.col("paper_id").alias("query_id")), int(most), limits)
+    # a paper may be asked for very often: its list is sent to the requests, not the requests to its list
+    bound = size.n * most
+    results = with_metadata(lists, papers, bound, limits).withColumnRenamed("query_id", "paper_id")
+    send_ids, send_lists = carrier(known, limits, size.n), carrier(results, limits, bound)
+    flagged = asked.join(send_ids(known.select("paper_id", F.lit(True).alias("_known"))), "paper_id", "left")
+    wanted = flagged.join(send_lists(results), "paper_id", "left").where(
         F.col("rank").isNull() | (F.col("rank") <= F.col("top_k")) | ((F.col("top_k") == 0) & (F.col("rank") == 1))
     )
     ok = F.coalesce("_known", F.lit(False))

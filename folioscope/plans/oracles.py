@@ -276,12 +276,9 @@ STEPS = {
                            min(y) OVER () AS y0, max(y) OVER () AS y1
                     FROM plane JOIN sampled_clusters USING (id)))""",
     "requests": """
-        SELECT row_number() OVER (ORDER BY n, doc_id) AS request_id, paper_id, k FROM (
-            SELECT query_id AS paper_id, CAST(query_id AS BIGINT) AS doc_id, 0 AS n, '5' AS k FROM queries100
-            UNION ALL SELECT query_id, CAST(query_id AS BIGINT), 1, ' +3 ' FROM queries100
-            UNION ALL SELECT query_id, CAST(query_id AS BIGINT), 2, '1.5' FROM queries100
-            UNION ALL SELECT 'x' || query_id, CAST(query_id AS BIGINT), 3, NULL FROM queries100
-            UNION ALL SELECT query_id, CAST(query_id AS BIGINT), 4, '0' FROM queries100)""",
+        SELECT CAST(query_id AS BIGINT) * 5 + n AS request_id, CASE WHEN n = 3 THEN 'x' ELSE '' END || query_id AS paper_id,
+               CASE n WHEN 0 THEN '5' WHEN 1 THEN ' +3 ' WHEN 2 THEN '1.5' WHEN 4 THEN '0' END AS k
+        FROM queries100 JOIN (SELECT unnest(range(5)) AS n) ON true""",
 }
 
 

@@ -18,7 +18,6 @@ from folioscope.plans import oracles as sql
 from folioscope.plans.prepare import PrepareConfig, prepare, summary
 from folioscope.plans.workspace import Workspace
 from folioscope.schemas import PAPER_FIELDS, SEQUENCED_PAPER
-from folioscope.settings import Limits
 from folioscope.sources import tables
 from folioscope.sources.papers import head, parse_paper_lines
 
@@ -274,9 +273,8 @@ def lemma_map(w: Workspace) -> DataFrame:
 
 @query("lemmatize_text", "SELECT id, string_agg(lemma, ' ' ORDER BY pos) AS text FROM words JOIN lemmas USING (w) WHERE field = 1 GROUP BY id")
 def lemmatize_text(w: Workspace) -> DataFrame:
-    """The shuffle plan for lemma maps beyond the broadcast bound, forced by a small bound."""
     stripped = cleaning.strip_markup(w.spread_papers).select("id", "seq", "cleaned_abstract")
-    done = cleaning.lemmatize(stripped, ["cleaned_abstract"], w.lemmas, limits=Limits(broadcast_rows=10))
+    done = cleaning.lemmatize(stripped, ["cleaned_abstract"], w.lemmas)
     return done.where("cleaned_abstract <> ''").select("id", F.col("cleaned_abstract").alias("text"))
 
 
@@ -378,12 +376,12 @@ def recommend_one(w: Workspace) -> DataFrame:
 @query("recommend_tfidf", f"SELECT r.query_id, r.rank, r.id, {_META} FROM ranked_tfidf r JOIN papers p ON p.id = r.id")
 def recommend_tfidf(w: Workspace) -> DataFrame:
     """The flagship: similar papers with metadata for a whole set of queries."""
-    return similarity.with_metadata(similarity.topk(w.tfidf, w.queries(), TOP), w.papers)
+    return similarity.recommend_many(w.papers, w.tfidf, w.queries())
 
 
 @query("recommend_hashed", f"SELECT r.query_id, r.rank, r.id, {_META} FROM ranked_hashed r JOIN papers p ON p.id = r.id")
 def recommend_hashed(w: Workspace) -> DataFrame:
-    return similarity.with_metadata(similarity.topk(w.hashed, w.queries(), TOP), w.papers)
+    return similarity.recommend_many(w.papers, w.hashed, w.queries())
 
 
 @query("similar_vectors", "SELECT query_id, rank, id, round(score, 6) AS score FROM ranked_vectors")
@@ -397,9 +395,9 @@ def similar_vectors(w: Workspace) -> DataFrame:
     f"SELECT query_id, rank, id, round(score, 6) AS score FROM ({sql.ranked('vectors', 'vectors_unit', 'all_vectors', 5)})",
 )
 def all_vector_neighbours(w: Workspace) -> DataFrame:
-    """Every vector is a query: the block plan for query sets beyond the broadcast bound, forced by a small bound."""
+    """Every vector is a query: broadcast while the table is small, block by block beyond the bound."""
     every = w.vectors.select(F.col("id").alias("query_id"))
-    return similarity.topk(w.vectors, every, 5, Limits(block_entries=16_000)).select("query_id", "rank", "id", r6("score"))
+    return similarity.topk(w.vectors, every, 5).select("query_id", "rank", "id", r6("score"))
 
 
 @query(
@@ -420,10 +418,9 @@ def answer_requests(w: Workspace) -> DataFrame:
         *[F.struct(F.lit(n).alias("n"), F.lit(p).alias("p"), F.lit(k).cast("string").alias("k")) for n, (p, k) in enumerate(kinds)]
     )
     asked = w.queries().select("query_id", F.explode(variants).alias("v"))
-    # the request list is as long as the query sample times five
-    order = F.row_number().over(lookup.Window.orderBy("v.n", F.col("query_id").cast("bigint")))
+    number = F.col("query_id").cast("bigint") * len(kinds) + F.col("v.n")
     requests = asked.select(
-        order.cast("bigint").alias("request_id"), F.concat("v.p", "query_id").alias("paper_id"), F.col("v.k").alias("k")
+        number.alias("request_id"), F.concat("v.p", "query_id").alias("paper_id"), F.col("v.k").alias("k")
     )
     return similarity.answer_requests(requests, w.papers, w.tfidf)
 
@@ -661,8 +658,7 @@ def inertia(w: Workspace) -> DataFrame:
 
 @query("silhouette_points", "SELECT id, cluster_id, round(silhouette, 6) AS silhouette FROM silhouettes")
 def silhouette_points(w: Workspace) -> DataFrame:
-    """The block plan for point sets beyond the broadcast bound, forced by a small bound."""
-    values = clustering.silhouette_points(w.vectors, w.label_clusters, Limits(block_entries=16_000))
+    values = clustering.silhouette_points(w.vectors, w.label_clusters)
     return values.select("id", "cluster_id", r6("silhouette"))
 
 

@@ -93,10 +93,10 @@ class Workspace:
         return {"tfidf": lambda: self.tfidf, "embedding": lambda: self.hashed}[method]()
 
     def queries(self, n: int = EVAL_QUERIES) -> DataFrame:
-        return evaluation.sample_queries(self.papers, n)
+        return self.stage(f"queries_{n}", lambda: evaluation.sample_queries(self.papers, n))
 
     def vector_queries(self, n: int = EVAL_QUERIES) -> DataFrame:
-        return evaluation.sample_queries(self.vectors, n)
+        return self.stage(f"vector_queries_{n}", lambda: evaluation.sample_queries(self.vectors, n))
 
     def ranked(self, method: str, n: int, k: int) -> DataFrame:
         return self.stage(

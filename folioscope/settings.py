@@ -31,13 +31,15 @@ MAP_COLOURS = 20
 class Limits:
     """Bounds that decide between a broadcast plan and a shuffle plan.
 
-    They are checked against the data before a plan is chosen; data beyond a bound takes the other plan,
+    They are checked against the data before a plan is chosen; data beyond a broadcast bound takes the other plan,
     which gives the same rows.
     """
 
     broadcast_rows: int = 200_000
     # vector entries (index/weight pairs or dense components) shipped to every Python worker
     block_entries: int = 4_000_000
+    # beyond this many points a K sweep uses the silhouette of linear cost unless told otherwise
+    exact_points: int = 50_000
 
 
 LIMITS = Limits()
