@@ -21,17 +21,30 @@ def stratified_sample(
 ) -> DataFrame:
     """``(id, cluster_id)``: all rows up to ``max_points``, beyond that each cluster's exact proportional quota.
 
-    A quota is the whole part of ``max_points * share``, at least 1. The highlighted id is always included. No
-    quota exceeds ``max_points``, which is stated as a rank limit of its own: it is pushed below the shuffle, so a
-    huge cluster sends at most that many rows per task.
+    A quota is the whole part of ``max_points * share``, at least 1. The highlighted id is always included.
+
+    A row's place in the draw is its seeded md5. Counting the first four hex digits per cluster tells up to which
+    digits rows can still be within the quota; the rest is dropped before anything is ranked, so even a cluster
+    holding most of the corpus leaves little more than its quota to sort.
     """
-    quota = F.greatest(F.lit(1), F.floor(max_points * F.col("share"))).cast("int")
-    quotas = cluster_sizes(clusters).select("cluster_id", quota.alias("quota"))
-    drawn = Window.partitionBy("cluster_id").orderBy(sample_key(seed), "id")
-    first = clusters.select("id", "cluster_id").withColumn("r", F.row_number().over(drawn)).where(F.col("r") <= max_points)
+    keyed = clusters.select("id", "cluster_id", sample_key(seed).alias("key"))
+    digits = F.substring("key", 1, 4)
+    counts = keyed.groupBy("cluster_id", digits.alias("digits")).agg(F.count("*").alias("n"))
+    so_far = Window.partitionBy("cluster_id").orderBy("digits").rowsBetween(Window.unboundedPreceding, 0)
+    running = counts.withColumn("reached", F.sum("n").over(so_far)).join(cluster_sizes(clusters), "cluster_id")
     total = clusters.agg(F.count("*").alias("total")).scalar()
-    sample = first.join(quotas, "cluster_id").withColumn("total", total)
-    chosen = sample.where((F.col("total") <= max_points) | (F.col("r") <= F.col("quota"))).select("id", "cluster_id")
+    drawn = F.greatest(F.lit(1), F.floor(max_points * F.col("share")))
+    quota = F.when(F.col("total") <= max_points, F.col("size")).otherwise(drawn)
+    cuts = (
+        running.withColumn("total", total)
+        .withColumn("quota", quota)
+        .where(F.col("reached") >= F.col("quota"))
+        .groupBy("cluster_id")
+        .agg(F.min("digits").alias("last_digits"), F.first("quota").alias("quota"))
+    )
+    near = keyed.join(carrier(cuts)(cuts), "cluster_id").where(digits <= F.col("last_digits"))
+    place = F.row_number().over(Window.partitionBy("cluster_id").orderBy("key", "id"))
+    chosen = near.withColumn("place", place).where(F.col("place") <= F.col("quota")).select("id", "cluster_id")
     if highlight is not None:
         chosen = chosen.unionByName(clusters.where(F.col("id") == highlight).select("id", "cluster_id")).distinct()
     return chosen

@@ -16,7 +16,7 @@ def scratch_root(spark: SparkSession) -> str:
     A cluster names it in ``spark.checkpoint.dir``; only where that is unset (a local test session) is a
     machine-local folder made, and then only once per session.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    root = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         root = spark.conf.get("folioscope.scratch", None)
         if not root:
