@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from folioscope import settings
 from folioscope.functions import text as tx
-from folioscope.operators import cleaning, clustering, evaluation, features, keywords, landscape, lookup, similarity
+from folioscope.operators import cleaning, clustering, evaluation, features, keywords, kmeans, landscape, lookup, similarity
 from folioscope.plans import oracles as sql
 from folioscope.plans.prepare import PrepareConfig, prepare, summary
 from folioscope.plans.workspace import Workspace
@@ -688,7 +688,7 @@ def svd_coordinates(w: Workspace) -> DataFrame:
 
 @query("kmeans_labels")
 def kmeans_labels(w: Workspace) -> DataFrame:
-    return clustering.kmeans(reduced(w), 4, restarts=3)[0].select("id", "cluster_id")
+    return kmeans.kmeans(reduced(w), 4, restarts=3)[0].select("id", "cluster_id")
 
 
 @query("cluster_count_sweep")

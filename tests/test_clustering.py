@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from folioscope.functions.sampling import sample_key
-from folioscope.operators import clustering, keywords, landscape
+from folioscope.operators import clustering, keywords, kmeans, landscape
 from folioscope.schemas import SEQUENCED_PAPER
 from folioscope.settings import Limits
 
@@ -54,14 +54,14 @@ BLOBS = np.concatenate([np.random.default_rng(3).normal(m, 0.3, (25, 3)) for m i
 
 def test_kmeans_finds_blobs_and_nearest_centroids(spark):
     points = points_of(spark, BLOBS)
-    clusters, centroids = clustering.kmeans(points, 3, restarts=4)
+    clusters, centroids = kmeans.kmeans(points, 3, restarts=4)
     found = {r.id: r.cluster_id for r in clusters.collect()}
     assert [len({found[f"p{i}"] for i in range(s, s + 25)}) for s in (0, 25, 50)] == [1, 1, 1]
     nearest = {r.id: (r.cluster_id, r.distance2) for r in clustering.nearest_centroid(points, centroids).collect()}
     assert {i: c for i, (c, _) in nearest.items()} == found
     total = clustering.inertia(points, clusters, centroids).first().inertia
     assert total == pytest.approx(sum(d for _, d in nearest.values()))
-    again, _ = clustering.kmeans(points, 3, restarts=4)
+    again, _ = kmeans.kmeans(points, 3, restarts=4)
     assert {r.id: r.cluster_id for r in again.collect()} == found
 
 
@@ -93,7 +93,13 @@ def test_k_sweep_picks_the_blobs(spark):
     sweep = clustering.k_sweep(points, 2, 5, restarts=3)
     rows = sweep.orderBy("k").collect()
     assert clustering.best_k(sweep) == 3 and {r.metric for r in rows} == {"euclidean"}
+    for row in rows:
+        labels = {r.id: r.cluster_id for r in kmeans.kmeans(points, row.k, restarts=3)[0].collect()}
+        whole = brute_silhouette(BLOBS, np.array([labels[f"p{i}"] for i in range(75)]))
+        assert row.silhouette == pytest.approx(whole.mean())
     assert all(a.inertia >= b.inertia * 0.98 for a, b in zip(rows, rows[1:]))
+    blocks = clustering.k_sweep(points, 2, 5, restarts=3, limits=Limits(block_entries=70)).orderBy("k").collect()
+    assert [r.silhouette for r in blocks] == pytest.approx([r.silhouette for r in rows])
     linear = clustering.k_sweep(points, 3, 3, restarts=1, limits=Limits(exact_points=10)).first()
     assert linear.metric == "squared_euclidean" and linear.silhouette > rows[1].silhouette
 
