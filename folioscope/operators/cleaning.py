@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from folioscope.functions import text as tx
@@ -65,20 +65,28 @@ def lemma_map(forms: DataFrame, lexicon: DataFrame | None = None) -> DataFrame:
     themselves) lists it. The form and everything one rule away compete first; only if none is listed are the
     rules applied again to their own output. The shortest listed candidate wins, the earlier one on equal length.
     """
-    known = (lexicon if lexicon is not None else forms).select(F.col("form").alias("candidate")).distinct()
-    inflected = forms.where(F.col("form").rlike(INFLECTED))
     rounds = F.aggregate(
         F.sequence(F.lit(1), F.char_length("form")),
         F.array(F.array("form")),
         lambda done, _: F.concat(done, F.array(F.flatten(F.transform(F.element_at(done, -1), _base_forms)))),
     )
-    candidates = (
-        inflected.select("form", "n", F.posexplode(rounds).alias("round", "options"))
-        .select("form", "n", "round", F.posexplode("options").alias("place", "candidate"))
-        .join(known, "candidate")
+    # every form stands for itself in round 0, which also lists it when the forms are the lexicon: one pass over
+    # the forms serves both, and no join reads them twice
+    options = F.when(F.col("form").rlike(INFLECTED), rounds).otherwise(F.array(F.array("form")))
+    own = F.lit(lexicon is None) & (F.col("round") == 0)
+    candidates = forms.select("form", "n", F.posexplode(options).alias("round", "options")).select(
+        "form", "n", "round", own.alias("lists"), F.posexplode("options").alias("place", "candidate")
     )
+    if lexicon is not None:
+        listed = lexicon.select(F.col("form").alias("candidate"), F.lit(True).alias("lists"))
+        candidates = candidates.unionByName(listed, allowMissingColumns=True)
+    known = candidates.withColumn("known", F.max("lists").over(Window.partitionBy("candidate")))
     preference = F.struct(F.greatest("round", F.lit(1)), F.char_length("candidate"), "round", "place")
-    chosen = candidates.groupBy("form").agg(F.min_by("candidate", preference).alias("lemma"), F.first("n").alias("n"))
+    chosen = (
+        known.where(F.col("known") & F.col("form").rlike(INFLECTED))
+        .groupBy("form")
+        .agg(F.min_by("candidate", preference).alias("lemma"), F.first("n").alias("n"))
+    )
     return chosen.where("lemma <> form").select("form", "lemma", "n")
 
 

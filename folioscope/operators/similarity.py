@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from folioscope.functions import text as tx
 from folioscope.operators.blocks import STEP, Rows, Scorer, distinct_columns, entries, few_tasks, vector_columns
 from folioscope.operators.carry import carrier
+from folioscope.schemas import PAPER_FIELDS
 from folioscope.settings import LIMITS, PREVIEW_CHARS, TOP_K, Limits
 
 # Scores are compared after rounding to 6 decimals and shown with 4.
@@ -153,15 +154,13 @@ def with_metadata(
     bound on the number of results; without it they are counted, so pass a stored table.
     """
     ship = carrier(ranked, limits, at_most)
-    details = papers.select(
-        "id", "title", tx.ellipsize("abstract", PREVIEW_CHARS).alias("abstract"), "authors", "categories"
-    )
-    return details.join(ship(ranked), "id").select(
+    # joined first, shortened after: only the results' abstracts are touched
+    return papers.select(*PAPER_FIELDS).join(ship(ranked), "id").select(
         "query_id",
         "rank",
         "id",
         "title",
-        "abstract",
+        tx.ellipsize("abstract", PREVIEW_CHARS).alias("abstract"),
         "authors",
         "categories",
         F.round("score", SCORE_DIGITS).alias("score"),
