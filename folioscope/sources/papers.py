@@ -9,9 +9,12 @@ from pyspark.sql import functions as F
 from folioscope.functions.text import one_line
 from folioscope.schemas import PAPER
 
-REQUIRED = ("id", "title", "abstract")
 OPTIONAL = ("categories", "authors")
 
+# whole rows an ordered limit may gather, and the slices counted where it would gather more
+GATHERED_ROWS = 2_000_000
+SLICES = 10_000
+
 
 def parse_paper_lines(lines: DataFrame, line: str = "value") -> DataFrame:
     """One JSON object per row -> the five paper fields.
@@ -58,9 +61,27 @@ def load_papers(spark: SparkSession, path: str) -> DataFrame:
     return parse_paper_lines(lines.withColumn("seq", F.monotonically_increasing_id()))
 
 
-def head(papers: DataFrame, n: int | None) -> DataFrame:
-    """The first ``n`` rows in sequence order; ``None`` or 0 keeps all."""
-    return papers.orderBy("seq").limit(n) if n else papers
+def head(papers: DataFrame, n: int | None, gathered_rows: int = GATHERED_ROWS) -> DataFrame:
+    """The first ``n`` rows in sequence order; ``None`` or 0 keeps all.
+
+    A plain ordered limit gathers up to ``n`` whole rows from every task. Where that would exceed
+    ``gathered_rows``, the range of ``seq`` is counted in slices first, and only the slices that hold the first
+    ``n`` rows are read in full.
+    """
+    if not n:
+        return papers
+    if papers.rdd.getNumPartitions() * n > gathered_rows:
+        ends = papers.agg(F.min("seq").alias("low"), F.max("seq").alias("high")).first()
+        low, high = ends.low or 0, ends.high or 0
+        width = (high - low) // SLICES + 1
+        slices = papers.groupBy(F.expr(f"(seq - {low}L) div {width}L").alias("slice")).count().collect()
+        reached = 0
+        for row in sorted(slices, key=lambda r: r.slice):
+            reached += row["count"]
+            if reached >= n:
+                papers = papers.where(F.col("seq") < low + (row.slice + 1) * width)
+                break
+    return papers.orderBy("seq").limit(n)
 
 
 def papers_from_documents(documents: DataFrame) -> DataFrame:

@@ -53,6 +53,10 @@ def test_head(spark, tmp_path):
     path = write_lines(tmp_path / "a.json", [line(id=str(i)) for i in range(20)])
     papers = load_papers(spark, path)
     assert [r.id for r in head(papers, 3).collect()] == ["0", "1", "2"]
+    scattered = papers.withColumn("seq", F.col("seq") * 300_000_000_000_000_003 - 7).repartition(4)
+    for n in (1, 3, 19, 20, 50):
+        assert [r.id for r in head(scattered, n, gathered_rows=0).collect()] == [str(i) for i in range(min(n, 20))]
+    assert head(papers.limit(0), 5, gathered_rows=0).count() == 0
     assert head(papers, None).count() == 20 and head(papers, 0).count() == 20
 
 
