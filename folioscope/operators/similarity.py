@@ -24,6 +24,9 @@ from folioscope.settings import LIMITS, PREVIEW_CHARS, TOP_K, Limits
 RANK_DIGITS = 6
 SCORE_DIGITS = 4
 
+# ids that are stated in a filter instead of a join
+PUSHED_IDS = 1_000
+
 CANDIDATES = "query_id string, id string, seq long, score double"
 _ARROW = pa.schema([("query_id", pa.string()), ("id", pa.string()), ("seq", pa.int64()), ("score", pa.float64())])
 
@@ -178,10 +181,17 @@ def recommend(
     papers: DataFrame, features: DataFrame, paper_id: str, k: int = TOP_K, limits: Limits = LIMITS
 ) -> DataFrame:
     """Similar papers for one id; an unknown id is an error."""
-    query = features.sparkSession.createDataFrame([(paper_id,)], "query_id string")
+    spark = features.sparkSession
+    query = spark.createDataFrame([(paper_id,)], "query_id string")
     if not features.where(F.col("id") == paper_id).take(1):
         raise ValueError(f"Paper ID '{paper_id}' not found in the dataset.")
-    return recommend_many(papers, features, query, k, limits).orderBy("rank")
+    found = topk(features, query, k, limits)
+    if k <= PUSHED_IDS:
+        # one short list: its ids become a filter that the scan of the papers can use to skip row groups
+        rows = found.collect()
+        found = spark.createDataFrame(rows, found.schema)
+        papers = papers.where(F.col("id").isin([row.id for row in rows]))
+    return with_metadata(found, papers, k, limits).orderBy("rank")
 
 
 def requested_k(k: str = "k", default: int = TOP_K):

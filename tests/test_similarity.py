@@ -131,3 +131,20 @@ def test_metadata_join_broadcasts_the_results(spark, corpus):
     plan = similarity.recommend_many(corpus.papers, corpus.tfidf, corpus.queries())
     text = plan._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in text and "SortMergeJoin" not in text
+
+
+@pytest.mark.parametrize("pushed", [0, 1_000])
+def test_recommend_one(spark, corpus, monkeypatch, pushed):
+    monkeypatch.setattr(similarity, "PUSHED_IDS", pushed)
+    found = similarity.recommend(corpus.papers, corpus.tfidf, "7", 4).collect()
+    query = spark.createDataFrame([("7",)], "query_id string")
+    many = similarity.recommend_many(corpus.papers, corpus.tfidf, query, 4).orderBy("rank").collect()
+    assert found == many and [r.rank for r in found] == [1, 2, 3, 4]
+    assert similarity.recommend(corpus.papers, corpus.tfidf, "7", 0).collect() == []
+
+
+def test_recommend_one_filters_the_paper_scan(corpus, tmp_path):
+    corpus.papers.write.parquet(str(tmp_path / "papers"))
+    papers = corpus.spark.read.parquet(str(tmp_path / "papers"))
+    plan = similarity.recommend(papers, corpus.tfidf, "7", 4)._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters: [In(id" in plan
