@@ -35,13 +35,14 @@ WRAP = (1 << 64) - 1
 
 @dataclass(frozen=True)
 class RepeatParams:
-    """``bucket_bytes`` of texts are merged in one unit of work, from shards of ``shard_bytes``; an anchor with more than
-    ``merged_texts`` different texts is compared by window digests."""
+    """``bucket_bytes`` of texts are merged in one unit of work, from shards of ``shard_bytes``, and a task has about
+    ``task_buckets`` of them; an anchor with more than ``merged_texts`` different texts is compared by window digests."""
 
     length: int = 200
     anchor: int = 100
-    shard_bytes: int = 65_536
+    shard_bytes: int = 60_000
     bucket_bytes: int = 400_000
+    task_buckets: int = 4
     merged_texts: int = 1_000
 
 
@@ -171,8 +172,10 @@ def merged_windows(texts: DataFrame, params: RepeatParams) -> DataFrame:
         })
 
     total = texts.agg(F.sum(F.octet_length("piece")).alias("n")).first()["n"] or 0
-    bucket = F.pmod(F.xxhash64("anchor"), F.lit(total // params.bucket_bytes + 1))
-    return texts.groupBy(bucket.alias("bucket")).applyInPandas(solve, "anchor long, digest long, at int, windows int")
+    buckets = total // params.bucket_bytes + 1
+    dealt = texts.withColumn("bucket", F.pmod(F.xxhash64("anchor"), F.lit(buckets)))
+    dealt = dealt.repartition(buckets // params.task_buckets + 1, "bucket")
+    return dealt.groupBy("bucket").applyInPandas(solve, "anchor long, digest long, at int, windows int")
 
 
 def counted_windows(texts: DataFrame, params: RepeatParams) -> DataFrame:
@@ -199,7 +202,8 @@ def repeated_runs(texts: DataFrame, params: RepeatParams) -> DataFrame:
     """``row, first, windows``: stretches of repeated windows of ``texts`` (``row, body``)."""
     runs = corpus_runs(texts, params)
     anchors = runs.groupBy("anchor").agg(F.count("*").alias("n"), F.min("digest").alias("low"), F.max("digest").alias("high"))
-    often = anchors.where("n >= 2").select("anchor", (F.col("low") != F.col("high")).alias("mixed"))
+    # stored, so that the join below deals both sides anew and Spark can split an anchor with very many runs
+    often = stored(anchors.where("n >= 2").select("anchor", (F.col("low") != F.col("high")).alias("mixed")), "anchors")
     met = stored(runs.join(often, "anchor"), "repeat-runs")
 
     mixed = met.where("mixed")
