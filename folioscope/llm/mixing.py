@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from folioscope.llm.common import stored
 
+SALTS = 64
 WORD = "[^\\x20\\x09-\\x0D]+"
 
 
@@ -153,14 +154,18 @@ def round_to_copies(rated: DataFrame, params: MixParams) -> DataFrame:
 def repair(rounded: DataFrame, known: DataFrame, params: MixParams) -> DataFrame:
     """``rounded`` with one copy more or less of a few documents, where that brings a source nearer to its target.
 
-    Each pass takes the document whose size is nearest to what is missing (or too much); two aggregations by source.
+    Each pass takes the document whose size is nearest to what is missing (or too much); two aggregations by source. Rows
+    meet their source's gap on a salted key, so that a source with a third of all rows is spread and summed up first.
     """
     rows = stored(rounded.withColumn("row", F.monotonically_increasing_id()), "rounded")
     targets = known.select(F.col("k_source").alias("m_source"), F.col("target").alias("m_target"))
     for _ in range(params.repairs):
         sums = rows.groupBy("source").agg(F.sum(F.col("copies") * F.col("size")).alias("sum"))
-        gaps = sums.join(targets, F.col("source").eqNullSafe(F.col("m_source"))).select("m_source", (F.col("m_target") - F.col("sum")).alias("gap"))
-        met = rows.join(gaps, F.col("source").eqNullSafe(F.col("m_source")))
+        gaps = sums.join(targets, F.col("source").eqNullSafe(F.col("m_source"))).select(
+            "m_source", (F.col("m_target") - F.col("sum")).alias("gap"), F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("m_salt")
+        )
+        salted = F.col("source").eqNullSafe(F.col("m_source")) & (F.pmod(F.col("row"), F.lit(SALTS)) == F.col("m_salt"))
+        met = rows.join(gaps, salted)
         more = (F.col("gap") > 0) & (F.col("copies") < params.cap)
         fewer = (F.col("gap") < 0) & (F.col("copies") > 0)
         off = F.abs(F.abs("gap") - F.col("size"))
