@@ -13,12 +13,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from folioscope.llm.common import map_batches, ready
+from folioscope.llm.common import map_batches, ready, stored
 
 UNDETERMINED = "und"
 LETTERS = re.compile(r"[^\W\d_]+")
 # longest run of letters looked at as one word; longer ones are cut into words of this length, none of them dropped
 LONGEST_WORD = 64
+SALTS = 16
 
 
 @dataclass(frozen=True)
@@ -26,7 +27,7 @@ class LanguageParams:
     """Texts of at most ``sample_rows`` labelled keys are learned from, the first by a hash of the key; the model keeps the
     ``words`` most frequent words and ``grams`` most frequent n-grams per language and length. All texts are scored."""
 
-    sample_rows: int = 20_000
+    sample_rows: int = 10_000
     words: int = 20_000
     grams: int = 5_000
     longest: int = 4
@@ -58,43 +59,46 @@ def units_of(words: Counter, longest: int) -> Iterator[tuple[int, str, int]]:
 
 @dataclass
 class LanguageModel:
-    """Log frequencies by language: ``tables[0]`` of words, ``tables[n]`` of n-grams of length n."""
+    """``units[0]`` numbers the known words and ``units[n]`` the n-grams of length n; ``logs`` has a row of log
+    frequencies by language for every number."""
 
     languages: list[str]
-    tables: list[dict[str, np.ndarray]]
-
-    def word_score(self, word: str) -> np.ndarray | None:
-        """Of a known word its log frequencies; else of its n-grams: from each place the longest known one is taken,
-        a place with none falls back to the next shorter length. None where nothing at all is known."""
-        known = self.tables[0].get(word)
-        if known is not None:
-            return known
+    units: list[dict[str, int]]
+    logs: np.ndarray
+
+    def back_off(self, word: str) -> list[int]:
+        """N-grams of an unseen word: from each place the longest known one, shorter lengths where there is none."""
         padded = f" {word} "
-        found, n = np.zeros(len(self.languages)), 0
-        longest = len(self.tables) - 1
+        longest = len(self.units) - 1
+        found = []
         for i in range(max(1, len(padded) - longest + 1)):
             for length in range(longest, 0, -1):
-                part = self.tables[length].get(padded[i : i + length])
-                if part is not None:
-                    found += part
-                    n += 1
+                unit = self.units[length].get(padded[i : i + length])
+                if unit is not None:
+                    found.append(unit)
                     break
-        return found / n if n else None
+        return found
 
-    def predict(self, text: str | None, cache: dict[str, np.ndarray | None], bound: int) -> tuple[str, float]:
+    def predict(self, text: str | None, cache: dict[str, list[int]], bound: int) -> tuple[str, float]:
         counts = Counter(words_of(text or ""))
         if not counts or not self.languages:
             return UNDETERMINED, 0.0
-        total = np.zeros(len(self.languages))
+        known = self.units[0].get
+        rows, weights = [], []
         for word, n in counts.items():
-            if word in cache:
-                score = cache[word]
-            else:
-                score = self.word_score(word)
+            unit = known(word)
+            if unit is not None:
+                rows.append(unit)
+                weights.append(n)
+                continue
+            found = cache.get(word)
+            if found is None:
+                found = self.back_off(word)
                 if len(cache) < bound:
-                    cache[word] = score
-            if score is not None:
-                total += n * score
+                    cache[word] = found
+            rows += found
+            weights += [n / len(found)] * len(found) if found else []
+        total = np.asarray(weights, dtype=np.float64) @ self.logs[rows] if rows else np.zeros(len(self.languages))
         share = np.exp(total - total.max())
         best = int(np.argmax(total))
         return self.languages[best], float(share[best] / share.sum())
@@ -119,30 +123,32 @@ def learn_languages(labelled: DataFrame, params: LanguageParams, key: str, text:
                 yield pa.RecordBatch.from_pydict({"lang": names, "length": lengths, "unit": units, "n": n})
 
     counted = sample.mapInArrow(count, "lang string, length long, unit string, n long").groupBy("lang", "length", "unit").agg(F.sum("n").alias("n"))
-    per = Window.partitionBy("lang", "length")
+    counted = stored(counted, "language-units")
+    totals_by = counted.groupBy("lang", "length").agg(F.sum("n").alias("total"))
     bound = F.when(F.col("length") == 0, params.words).otherwise(params.grams)
-    kept = (
-        counted.withColumn("place", F.row_number().over(per.orderBy(F.desc("n"), "unit")))
-        .withColumn("total", F.sum("n").over(per))
-        .where(F.col("place") <= bound)
-        .select("lang", "length", "unit", "n", "total")
-        .toPandas()
-    )
+    # the most frequent units are ranked in salted parts first, so that a language with most of the words is spread
+    kept = counted.withColumn("salt", F.pmod(F.xxhash64("unit"), F.lit(SALTS)))
+    for by in (["lang", "length", "salt"], ["lang", "length"]):
+        place = F.row_number().over(Window.partitionBy(*by).orderBy(F.desc("n"), "unit"))
+        kept = kept.withColumn("place", place).where(F.col("place") <= bound)
+    kept = kept.join(F.broadcast(totals_by), ["lang", "length"]).select("lang", "length", "unit", "n", "total").toPandas()
+    kept = kept.sort_values(["length", "unit", "lang"])
     languages = sorted(kept["lang"].unique())
     at = {name: i for i, name in enumerate(languages)}
-    tables: list[dict[str, np.ndarray]] = []
+    units: list[dict[str, int]] = [{} for _ in range(longest + 1)]
+    logs: list[np.ndarray] = []
     for length in range(longest + 1):
         rows = kept[kept["length"] == length]
         totals = np.ones(len(languages))
         for name, total in zip(rows["lang"], rows["total"]):
             totals[at[name]] = total
         floor = np.log(params.smoothing / (totals + 1))
-        table: dict[str, np.ndarray] = {}
         for name, unit, n in zip(rows["lang"], rows["unit"], rows["n"]):
-            row = table.setdefault(unit, floor.copy())
-            row[at[name]] = math.log((n + params.smoothing) / (totals[at[name]] + 1))
-        tables.append(table)
-    return LanguageModel(languages, tables)
+            if unit not in units[length]:
+                units[length][unit] = len(logs)
+                logs.append(floor.copy())
+            logs[units[length][unit]][at[name]] = math.log((n + params.smoothing) / (totals[at[name]] + 1))
+    return LanguageModel(languages, units, np.array(logs).reshape(len(logs), len(languages)))
 
 
 def identify_languages(docs: DataFrame, model: LanguageModel, params: LanguageParams, text: str = "text", keys: tuple[str, ...] = ("doc_id",)) -> DataFrame:
@@ -157,7 +163,7 @@ def identify_languages(docs: DataFrame, model: LanguageModel, params: LanguagePa
     bound = params.cache_words
     given = docs.select(*[F.col(k) for k in keys], F.col(text).cast("string").alias("_text"))
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in given.schema.fields[:-1])
-    cache: dict[str, np.ndarray | None] = {}
+    cache: dict[str, list[int]] = {}
 
     def convert(batch: pa.RecordBatch):
         answers = [shared.value.predict(t, cache, bound) for t in batch.column(len(keys)).to_pylist()]
