@@ -40,8 +40,8 @@ def _matrix(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return array.values.to_numpy(zero_copy_only=False), offsets
 
 
-def sign_buckets(distinct: DataFrame, params: VectorParams) -> DataFrame:
-    """``id, label, n, embedding, signs, tab, sig``: a row per vector and table; ``signs`` holds all tables' keys."""
+def sign_vectors(distinct: DataFrame, params: VectorParams) -> DataFrame:
+    """``id, label, n, embedding, signs, width``: a row per vector; ``signs`` holds its bucket in every table."""
     size, tables = params.bits, params.tables
     schema = "id long, label string, n long, embedding array<double>, signs array<long>, width int"
 
@@ -63,27 +63,30 @@ def sign_buckets(distinct: DataFrame, params: VectorParams) -> DataFrame:
                 [*batch.columns, lists, pa.array(widths, pa.int32())], names=[*batch.schema.names, "signs", "width"]
             )
 
-    hashed = distinct.mapInArrow(run, schema)
-    return hashed.select("id", "label", "width", "n", "embedding", "signs", F.posexplode("signs").alias("tab", "sig"))
+    return distinct.mapInArrow(run, schema)
 
 
-def work_units(rows: DataFrame, params: VectorParams) -> DataFrame:
-    """``rows`` of buckets with two vectors or more, dealt to units of at most two blocks of a bucket.
+def work_units(signed: DataFrame, params: VectorParams) -> DataFrame:
+    """Vectors of buckets with two or more, dealt to units of at most two blocks of a bucket.
+
+    Buckets are counted and cut into units with the vectors' ids alone; only vectors that are not alone in a bucket are
+    sent, and once for each unit.
 
     A bucket of g vectors has ceil(g / block) blocks, and every pair of blocks is a unit, so that a bucket with a third
     of all vectors is spread over many units. ``side`` says which of the unit's blocks a row comes from.
     """
     bucket = ["label", "width", "tab", "sig"]
+    rows = signed.select("id", "label", "width", F.posexplode("signs").alias("tab", "sig"))
     sizes = rows.groupBy(*bucket).agg(F.count("*").alias("g")).where("g > 1")
     blocks = F.ceil(F.col("g") / params.block).cast("int")
     placed = rows.join(sizes, bucket).withColumn("blocks", blocks).withColumn("own", F.pmod(F.xxhash64("id"), "blocks").cast("int"))
     spread = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     low, high = F.least("own", "other"), F.greatest("own", "other")
     unit = F.xxhash64(*bucket, low, high)
-    return spread.select(
-        unit.alias("unit"), *bucket, low.alias("low"), high.alias("high"), (F.col("own") > F.col("other")).cast("int").alias("side"),
-        "id", "n", "embedding", "signs",
+    dealt = spread.select(
+        unit.alias("unit"), *bucket, low.alias("low"), high.alias("high"), (F.col("own") > F.col("other")).cast("int").alias("side"), "id"
     )
+    return dealt.join(signed.select("id", "n", "embedding", "signs"), "id")
 
 
 def _linked(frame: dict[str, np.ndarray], begin: np.ndarray, params: VectorParams) -> tuple[np.ndarray, np.ndarray]:
@@ -208,8 +211,8 @@ def vector_groups(
         F.min("key").alias("least"), F.count("*").alias("n"), F.first("label").alias("label"), F.first("embedding").alias("embedding")
     )
     distinct = stored(collapsed.withColumn("id", F.monotonically_increasing_id()), "vectors")
-    rows = sign_buckets(distinct.select("id", "label", "n", "embedding"), params)
-    found = stored(verify(work_units(stored(rows, "signs"), params), params), "links")
+    signed = stored(sign_vectors(distinct.select("id", "label", "n", "embedding"), params), "signs")
+    found = stored(verify(work_units(signed, params), params), "links")
     roots = connected_components(found, "id", "root")
     links = found.groupBy("id").agg(F.sum("links").alias("links"))
     named = distinct.select("id", "k1", "k2", "least", "n").join(links, "id", "left").join(roots.withColumnRenamed("node", "id"), "id", "left")
