@@ -286,5 +286,6 @@ def drop_near_copies(docs: DataFrame, params: SimhashParams = SimhashParams(), k
     first = marked.groupBy("fp").agg(F.min(order).alias("first"))
     kept = first.join(link_fingerprints(marked, params), "fp").groupBy("root").agg(F.min("first").alias("first"))
     kept = stored(kept.select(F.col("first._row").alias("_kept_row")), "kept")
+    # the kept rows grow with the corpus: never broadcast, the same join at every size
     numbered = docs.withColumn("_kept_row", F.monotonically_increasing_id())
-    return numbered.join(kept, "_kept_row", "left_semi").drop("_kept_row")
+    return numbered.join(kept.hint("merge"), "_kept_row", "left_semi").drop("_kept_row")

@@ -45,5 +45,6 @@ def mixed(docs: DataFrame, params: MixParams = MixParams(), text: str = "text",
     taken = mix_sources(numbered, params, key=row, text=text, source=source).where("copies > 0")
     taken = taken.select(F.col(row).alias("_mix_row"), F.col("copies").alias("_mix_copies"), F.col("taken").alias("_mix_taken"))
     kept: list[Column] = [numbered[c] for c in docs.columns if c.lower() not in ("copies", "taken")]
-    joined = numbered.join(taken, numbered[row] == taken["_mix_row"])
+    # the mix grows with the corpus: never broadcast, the same join at every size
+    joined = numbered.join(taken.hint("merge"), numbered[row] == taken["_mix_row"])
     return joined.select(*kept, F.col("_mix_copies").alias("copies"), F.col("_mix_taken").alias("taken"))
