@@ -16,6 +16,8 @@ from pyspark.sql import functions as F
 
 # numbers held at once by a scoring step (32 MB of doubles)
 STEP = 4_000_000
+# parts in which results of tasks are merged before they meet
+SALTS = 32
 
 
 def is_sparse(features: DataFrame) -> bool:
@@ -30,14 +32,6 @@ def vector_columns(features: DataFrame) -> list[str]:
     return ["term_idx", "weight"] if is_sparse(features) else ["embedding"]
 
 
-def few_tasks(df: DataFrame) -> DataFrame:
-    """At most four tasks per core, by joining neighbouring splits without a shuffle.
-
-    For kernels that hand on one fixed-size result per task: a scan of very many splits would multiply it.
-    """
-    return df.coalesce(4 * df.sparkSession.sparkContext.defaultParallelism)
-
-
 def distinct_columns(df: DataFrame) -> DataFrame:
     """The same rows under new column identities, so that a table can meet itself."""
     return df.select(*[F.col(c).alias(c) for c in df.columns])

@@ -65,8 +65,9 @@ def lemma_map(forms: DataFrame, lexicon: DataFrame | None = None) -> DataFrame:
     themselves) lists it. The form and everything one rule away compete first; only if none is listed are the
     rules applied again to their own output. The shortest listed candidate wins, the earlier one on equal length.
     """
+    # a rule applies to the output of another only within a closing run of the letters s and e
     rounds = F.aggregate(
-        F.sequence(F.lit(1), F.char_length("form")),
+        F.sequence(F.lit(1), F.char_length(F.regexp_extract("form", "[se]*$", 0)) + 2),
         F.array(F.array("form")),
         lambda done, _: F.concat(done, F.array(F.flatten(F.transform(F.element_at(done, -1), _base_forms)))),
     )

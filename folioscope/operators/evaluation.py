@@ -11,9 +11,10 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from folioscope.functions import text as tx
 from folioscope.functions.sampling import sample_key
 from folioscope.functions.text import primary_category
-from folioscope.operators.blocks import is_sparse
+from folioscope.operators.blocks import is_sparse, vector_columns
 from folioscope.operators.carry import carrier
 from folioscope.settings import EVAL_QUERIES, LIMITS, SEED, Limits
 
@@ -73,7 +74,7 @@ def query_scores(judged: DataFrame, ks: Sequence[int]) -> DataFrame:
 def vector_entries(features: DataFrame, *carried: str) -> DataFrame:
     """Feature rows as ``(*carried, place, dimension, value)``; an empty row keeps one entry of nulls."""
     if is_sparse(features):
-        pairs = F.arrays_zip(F.col("term_idx").alias("dimension"), F.col("weight").alias("value"))
+        pairs = F.arrays_zip(F.col("term_idx").alias("dimension"), F.col("weight").cast("array<double>").alias("value"))
     else:
         pairs = F.transform("embedding", lambda x, i: F.struct(i.alias("dimension"), x.cast("double").alias("value")))
     return features.select(*carried, F.posexplode_outer(pairs).alias("place", "_e")).select(
@@ -81,16 +82,27 @@ def vector_entries(features: DataFrame, *carried: str) -> DataFrame:
     )
 
 
+def _scaled(features: DataFrame) -> DataFrame:
+    """Vectors brought to length one; zero vectors stay."""
+    name = vector_columns(features)[-1]
+
+    def scale(v: Column) -> Column:
+        norm = F.sqrt(F.aggregate(v, F.lit(0.0), lambda total, x: total + x * x))
+        return tx.let(norm, lambda n: F.when(n > 0, F.transform(v, lambda x: x / n)).otherwise(v))
+
+    return features.withColumn(name, tx.let(F.col(name).cast("array<double>"), scale))
+
+
 def _mean_pair_distance(members: DataFrame, group: Sequence[str]) -> DataFrame:
-    """Mean cosine distance over unordered pairs of unit vectors, from sums: no pair is ever formed.
+    """Mean cosine distance over unordered pairs of vectors of any length, from sums: no pair is ever formed.
 
-    ``1 - (|sum v|^2 - sum |v|^2) / (m (m - 1))``; a zero vector counts as a member and adds nothing to the sums.
+    With vectors scaled to length one, ``1 - (|sum v|^2 - sum |v|^2) / (m (m - 1))``; a zero vector counts as a member and adds nothing to the sums.
     ``members`` has the group columns and the vector.
     """
     begins_row = (F.coalesce("place", F.lit(0)) == 0).cast("long")
     square = F.col("value") * F.col("value")
     sums = (
-        vector_entries(members, *group)
+        vector_entries(_scaled(members), *group)
         .groupBy(*group, "dimension")
         .agg(F.sum("value").alias("s"), F.sum(square).alias("sq"), F.sum(begins_row).alias("m"))
         .groupBy(*group)

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from folioscope.functions import text as tx
 from folioscope.functions.wordlists import VECTOR_STOP_WORDS
+from folioscope.operators.carry import carrier
 from folioscope.settings import CLUSTER_TERM_CAP, GLOBAL_TERM_CAP, KEYWORDS_PER_CLUSTER
 
 # Placeholders for clusters without keywords.
@@ -30,7 +31,7 @@ def _all_term_counts(papers: DataFrame, clusters: DataFrame, stop_words: Sequenc
     found = papers.join(clusters, "id").select("cluster_id", F.explode(tx.tokens(raw, stop_words)).alias("term"))
     counts = found.groupBy("cluster_id", "term").agg(F.count("*").alias("n"))
     # one row per cluster on the right side, after the texts have been reduced to counts
-    return counts.join(usable, "cluster_id", "left_semi")
+    return counts.join(carrier(usable)(usable), "cluster_id", "left_semi")
 
 
 def cluster_term_counts(
@@ -67,15 +68,15 @@ def global_term_counts(
 def keyword_scores(
     papers: DataFrame,
     clusters: DataFrame,
-    exact_global: bool = False,
+    exact_global: bool = True,
     stop_words: Sequence[str] = VECTOR_STOP_WORDS,
     cluster_cap: int = CLUSTER_TERM_CAP,
     global_cap: int = GLOBAL_TERM_CAP,
 ) -> DataFrame:
     """``(cluster_id, term, n, score)`` with ``score = n / (global_n + 1)``.
 
-    By default a term outside the capped global list counts as global 1 and so outscores listed ones;
-    ``exact_global`` uses the true global count instead.
+    With ``exact_global=False`` the global counts are capped, and a term outside the capped list counts as global 1
+    and so outscores listed ones.
     """
     counts = _all_term_counts(papers, clusters, stop_words)
     top = _top_per_cluster(counts, cluster_cap)
@@ -105,7 +106,7 @@ def cluster_keywords(
 def cluster_of_papers(ids: DataFrame, clusters: DataFrame, keywords: DataFrame) -> DataFrame:
     """``(id, cluster_id, keywords)`` for the asked ids, nulls where the id is unknown."""
     found = ids.select("id").join(clusters.select("id", "cluster_id"), "id", "left")
-    return found.join(keywords, "cluster_id", "left").select("id", "cluster_id", "keywords")
+    return found.join(carrier(keywords)(keywords), "cluster_id", "left").select("id", "cluster_id", "keywords")
 
 
 def keyword_labels(keywords: DataFrame, n: int = 4) -> DataFrame:

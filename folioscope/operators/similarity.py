@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from folioscope.functions import text as tx
-from folioscope.operators.blocks import STEP, Rows, Scorer, distinct_columns, entries, few_tasks, vector_columns
+from folioscope.operators.blocks import SALTS, STEP, Rows, Scorer, distinct_columns, entries, vector_columns
 from folioscope.operators.carry import carrier
 from folioscope.schemas import PAPER_FIELDS
 from folioscope.settings import LIMITS, PREVIEW_CHARS, TOP_K, Limits
@@ -93,7 +93,7 @@ def _by_broadcast(features: DataFrame, query_table: pa.Table, k: int) -> DataFra
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from _score_all(_Best(Rows.read(shipped.value).unit(), k), batches).to_batches()
 
-    return few_tasks(features.select("id", "seq", *vector_columns(features))).mapInArrow(run, CANDIDATES)
+    return features.select("id", "seq", *vector_columns(features)).mapInArrow(run, CANDIDATES)
 
 
 def _by_blocks(features: DataFrame, query_rows: DataFrame, k: int, query_blocks: int, row_blocks: int) -> DataFrame:
@@ -143,8 +143,11 @@ def topk(features: DataFrame, queries: DataFrame, k: int = TOP_K, limits: Limits
         found = _by_blocks(
             features, query_rows, k, ceil(size / limits.block_entries), ceil(total / limits.block_entries)
         )
-    best_first = Window.partitionBy("query_id").orderBy(F.desc(F.round("score", RANK_DIGITS)), "seq")
-    ranked = found.withColumn("rank", F.row_number().over(best_first)).where(F.col("rank") <= k)
+    # tasks' lists are merged in two levels, so that no task gets one from every split
+    ranked = found.withColumn("salt", F.spark_partition_id() % SALTS)
+    for key in (["query_id", "salt"], ["query_id"]):
+        best_first = Window.partitionBy(*key).orderBy(F.desc(F.round("score", RANK_DIGITS)), "seq")
+        ranked = ranked.withColumn("rank", F.row_number().over(best_first)).where(F.col("rank") <= k)
     return ranked.select("query_id", "rank", "id", "seq", "score")
 
 

@@ -147,7 +147,7 @@ def metrics(name: str, ranked_step: str, judged_step: str, weights: str, items:
               FROM {ranked_step} JOIN (SELECT unnest([{", ".join(map(str, ks))}]) AS k) ON rank <= k GROUP BY k) c ON c.k = s.k"""
 
 
-def keyword_scores(clusters: str, exact: bool = False) -> str:
+def keyword_scores(clusters: str, exact: bool = True) -> str:
     total = "exact_counts" if exact else f"(SELECT * FROM exact_counts ORDER BY n DESC, term LIMIT {settings.GLOBAL_TERM_CAP})"
     return f"""
         WITH sizes AS (SELECT cluster_id, count(*) AS size FROM {clusters} GROUP BY cluster_id),
@@ -161,7 +161,7 @@ def keyword_scores(clusters: str, exact: bool = False) -> str:
         FROM top t LEFT JOIN {total} g ON g.term = t.term"""
 
 
-def keyword_lists(clusters: str, exact: bool = False) -> str:
+def keyword_lists(clusters: str, exact: bool = True) -> str:
     return f"""
         SELECT s.cluster_id, coalesce(k.keywords, [CASE WHEN s.size < 2 THEN '(small cluster)'
                ELSE '(keyword extraction failed)' END]) AS keywords

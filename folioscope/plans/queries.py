@@ -71,9 +71,12 @@ def jsonl_paper_scan(w: Workspace) -> DataFrame:
     return parse_paper_lines(lines)
 
 
-@query("corpus_head", f"SELECT * FROM papers ORDER BY seq LIMIT {settings.CORPUS_CAP}")
+HEAD_ROWS = 333
+
+
+@query("corpus_head", f"SELECT * FROM papers ORDER BY seq LIMIT {HEAD_ROWS}")
 def corpus_head(w: Workspace) -> DataFrame:
-    return head(w.papers, settings.CORPUS_CAP)
+    return head(w.papers, HEAD_ROWS)
 
 
 @query("csv_snapshot", "SELECT * FROM papers")
@@ -190,7 +193,7 @@ def abstract_preview(w: Workspace) -> DataFrame:
     "listing_cards",
     f"""SELECT id, {sql.preview("title", 100)} AS title, {sql.preview("authors", 80)} AS authors,
         array_to_string(list_slice(c, 1, 3), ' ') AS top_categories, array_to_string(c, ' ') AS all_categories FROM (
-            SELECT id, title, source || ' wrote ' || substr(abstract, 1, 90) AS authors,
+            SELECT id, title, source || ' wrote ' || title AS authors,
                    list_filter(string_split({sql.collapse("'  ' || categories || '  a.b ' || chr(9) || 'c.d'")}, ' '), lambda x: x <> '') AS c
             FROM papers JOIN documents ON doc_id = seq)""",
 )
@@ -199,7 +202,7 @@ def listing_cards(w: Workspace) -> DataFrame:
     papers = w.papers.select(
         "id",
         "title",
-        F.concat(source, F.lit(" wrote "), F.substring("abstract", 1, 90)).alias("authors"),
+        F.concat(source, F.lit(" wrote "), "title").alias("authors"),
         F.concat(F.lit("  "), "categories", F.lit("  a.b \tc.d")).alias("categories"),
     )
     return lookup.cards(papers).select(
@@ -599,7 +602,7 @@ def keyword_scores(w: Workspace) -> DataFrame:
     return scores.select("cluster_id", "term", "n", r6("score"))
 
 
-def _keyword_query(name: str, clusters: Callable[[Workspace], DataFrame], step: str, exact: bool = False) -> None:
+def _keyword_query(name: str, clusters: Callable[[Workspace], DataFrame], step: str, exact: bool = True) -> None:
     @query(name, f"SELECT cluster_id, array_to_string(keywords, ' ') AS keywords FROM ({sql.keyword_lists(step, exact)})")
     def build(w: Workspace) -> DataFrame:
         found = keywords.cluster_keywords(w.spread_papers, clusters(w), exact_global=exact)
@@ -607,7 +610,8 @@ def _keyword_query(name: str, clusters: Callable[[Workspace], DataFrame], step:
 
 
 _keyword_query("cluster_keywords", lambda w: w.lang_clusters, "lang_clusters")
-_keyword_query("cluster_keywords_exact_global", lambda w: w.lang_clusters, "lang_clusters", exact=True)
+_keyword_query("cluster_keywords_exact_global", lambda w: w.lang_clusters, "lang_clusters")
+_keyword_query("cluster_keywords_capped_global", lambda w: w.lang_clusters, "lang_clusters", exact=False)
 _keyword_query("small_cluster_keywords", length_clusters, "length_clusters")
 
 
@@ -669,11 +673,12 @@ def silhouette(w: Workspace) -> DataFrame:
 
 # ---------------------------------------------------------------- clustering by model fits (no SQL twin)
 
-SMALL_SVD = 8
-
 
 def reduced(w: Workspace) -> DataFrame:
-    return w.stage("reduced", lambda: clustering.truncated_svd(w.tfidf, len(w.model.terms), SMALL_SVD)[0])
+    return w.stage("reduced", lambda: clustering.truncated_svd(w.tfidf, len(w.model.terms), settings.SVD_COMPONENTS)[0])
+
+
+CLUSTERS = 17
 
 
 @query("svd_rows")
@@ -688,18 +693,18 @@ def svd_coordinates(w: Workspace) -> DataFrame:
 
 @query("kmeans_labels")
 def kmeans_labels(w: Workspace) -> DataFrame:
-    return kmeans.kmeans(reduced(w), 4, restarts=3)[0].select("id", "cluster_id")
+    return kmeans.kmeans(reduced(w), CLUSTERS)[0].select("id", "cluster_id")
 
 
 @query("cluster_count_sweep")
 def cluster_count_sweep(w: Workspace) -> DataFrame:
-    return clustering.k_sweep(reduced(w), 3, 6, restarts=2)
+    return clustering.k_sweep(reduced(w))
 
 
 @query("prepare_corpus")
 def prepare_corpus(w: Workspace) -> DataFrame:
-    """The whole preparation job on the documents, with a short sweep."""
-    config = PrepareConfig(svd_components=SMALL_SVD, k_min=3, k_max=4, restarts=2)
+    """The whole preparation job on all documents, with the number of clusters given."""
+    config = PrepareConfig(n_clusters=CLUSTERS)
     return prepare(w.spark, w.papers.select(*PAPER_FIELDS, "seq"), tables.scratch_path(w.spark, "prepared"), config)
 
 

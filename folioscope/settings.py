@@ -5,7 +5,6 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 # Defaults of the workload itself.
-CORPUS_CAP = 10_000
 MAX_TERMS = 10_000
 EMBEDDING_DIM = 384
 ENCODE_BATCH = 64
@@ -38,8 +37,6 @@ class Limits:
     broadcast_rows: int = 200_000
     # vector entries (index/weight pairs or dense components) shipped to every Python worker
     block_entries: int = 4_000_000
-    # beyond this many points a K sweep uses the silhouette of linear cost unless told otherwise
-    exact_points: int = 50_000
 
 
 LIMITS = Limits()

@@ -49,7 +49,11 @@ def parse_paper_lines(lines: DataFrame, line: str = "value") -> DataFrame:
 
 
 def load_papers(spark: SparkSession, path: str) -> DataFrame:
-    """JSON-lines corpus with ``seq``, a number that rises in file order."""
+    """JSON-lines corpus with ``seq``, a number that rises in the order of file names and of lines in a file.
+
+    Splits are read in any order: each has its rank among all as the high part of ``seq`` and the line's place in its
+    task as the low part. The splits are listed in one pass that reads no fields.
+    """
     try:
         lines = spark.read.text(path)
     except AnalysisException as error:
@@ -58,7 +62,14 @@ def load_papers(spark: SparkSession, path: str) -> DataFrame:
                 f"No corpus at {path}: download the metadata snapshot (JSON lines) and pass its path."
             ) from error
         raise
-    return parse_paper_lines(lines.withColumn("seq", F.monotonically_increasing_id()))
+    split = ["_metadata.file_path", "_metadata.file_block_start"]
+    placed = lines.select("value", *split, F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1).alias("place"))
+    splits = sorted(tuple(r) for r in lines.select(*split).distinct().collect())
+    if not splits:
+        return parse_paper_lines(lines.withColumn("seq", F.lit(0).cast("bigint")))
+    ranked = spark.createDataFrame([(*s, i) for i, s in enumerate(splits)], "file_path string, file_block_start long, split long")
+    placed = placed.join(ranked, ["file_path", "file_block_start"])
+    return parse_paper_lines(placed.select("value", (F.shiftleft("split", 33) + F.col("place")).alias("seq")))
 
 
 def head(papers: DataFrame, n: int | None, gathered_rows: int = GATHERED_ROWS) -> DataFrame:

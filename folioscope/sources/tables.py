@@ -20,6 +20,8 @@ def scratch_root(spark: SparkSession) -> str:
     if not root:
         root = spark.conf.get("folioscope.scratch", None)
         if not root:
+            if not spark.sparkContext.master.split("[")[0] == "local":
+                raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
             root = tempfile.mkdtemp(prefix="folioscope-")
             spark.conf.set("folioscope.scratch", root)
     return f"{root.rstrip('/')}/folioscope/{spark.sparkContext.applicationId}"

@@ -90,7 +90,7 @@ def test_silhouette_equals_brute_force(spark, limits):
 
 def test_k_sweep_picks_the_blobs(spark):
     points = points_of(spark, BLOBS)
-    sweep = clustering.k_sweep(points, 2, 5, restarts=3)
+    sweep = clustering.k_sweep(points, 2, 5, restarts=3, exact=True)
     rows = sweep.orderBy("k").collect()
     assert clustering.best_k(sweep) == 3 and {r.metric for r in rows} == {"euclidean"}
     for row in rows:
@@ -98,9 +98,9 @@ def test_k_sweep_picks_the_blobs(spark):
         whole = brute_silhouette(BLOBS, np.array([labels[f"p{i}"] for i in range(75)]))
         assert row.silhouette == pytest.approx(whole.mean())
     assert all(a.inertia >= b.inertia * 0.98 for a, b in zip(rows, rows[1:]))
-    blocks = clustering.k_sweep(points, 2, 5, restarts=3, limits=Limits(block_entries=70)).orderBy("k").collect()
+    blocks = clustering.k_sweep(points, 2, 5, restarts=3, exact=True, limits=Limits(block_entries=70)).orderBy("k").collect()
     assert [r.silhouette for r in blocks] == pytest.approx([r.silhouette for r in rows])
-    linear = clustering.k_sweep(points, 3, 3, restarts=1, limits=Limits(exact_points=10)).first()
+    linear = clustering.k_sweep(points, 3, 3, restarts=1).first()
     assert linear.metric == "squared_euclidean" and linear.silhouette > rows[1].silhouette
 
 
@@ -129,7 +129,7 @@ def test_keywords_and_placeholders(spark):
 
 def test_terms_outside_the_global_list_count_as_one(spark):
     papers, clusters = keyword_case(spark)
-    capped = {(r.cluster_id, r.term): r.score for r in keywords.keyword_scores(papers, clusters, global_cap=1).collect()}
+    capped = {(r.cluster_id, r.term): r.score for r in keywords.keyword_scores(papers, clusters, exact_global=False, global_cap=1).collect()}
     assert capped[(0, "rare")] == 1.0 and capped[(0, "common")] == pytest.approx(2 / 5) and capped[(1, "second")] == 1.0
     exact = {(r.cluster_id, r.term): r.score for r in keywords.keyword_scores(papers, clusters, exact_global=True, global_cap=1).collect()}
     assert exact[(0, "rare")] == pytest.approx(2 / 3)

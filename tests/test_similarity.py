@@ -123,7 +123,9 @@ def test_scores_fall_with_rank_and_stay_in_range(spark, corpus):
 def test_only_candidates_are_shuffled(spark, corpus):
     ranked = similarity.topk(corpus.tfidf, corpus.queries(), 10)
     plan = ranked._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("Exchange") == 1 and "Cartesian" not in plan and "NestedLoop" not in plan
+    # natural splits, and two exchanges of candidates: within salted parts, then whole
+    assert plan.count("Exchange") == 2 and plan.count("hashpartitioning(query_id") == 2 and "Coalesce" not in plan
+    assert "Cartesian" not in plan and "NestedLoop" not in plan
     assert plan.index("MapInArrow") > plan.index("Exchange") > plan.index("Window")
 
 
