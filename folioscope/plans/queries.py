@@ -671,16 +671,15 @@ def silhouette(w: Workspace) -> DataFrame:
     return clustering.silhouette(w.vectors, w.label_clusters).select(r6("silhouette"))
 
 
-# ---------------------------------------------------------------- clustering by model fits (no SQL twin)
+# ---------------------------------------------------------------- clustering by model fits
+
+CLUSTERS = 17
 
 
 def reduced(w: Workspace) -> DataFrame:
     return w.stage("reduced", lambda: clustering.truncated_svd(w.tfidf, len(w.model.terms), settings.SVD_COMPONENTS)[0])
 
 
-CLUSTERS = 17
-
-
 @query("svd_rows")
 def svd_rows(w: Workspace) -> DataFrame:
     return reduced(w).select("id", F.transform("embedding", lambda x: F.round(x, 6)).alias("components"))
@@ -701,7 +700,11 @@ def cluster_count_sweep(w: Workspace) -> DataFrame:
     return clustering.k_sweep(reduced(w))
 
 
-@query("prepare_corpus")
+@query(
+    "prepare_corpus",
+    f"""SELECT count(*) AS papers, (SELECT count(*) FROM clean) AS tfidf_rows, (SELECT count(*) FROM vocab) AS tfidf_terms,
+        (SELECT count(*) FROM clean) AS embedding_rows, CAST({CLUSTERS} AS BIGINT) AS clusters FROM papers""",
+)
 def prepare_corpus(w: Workspace) -> DataFrame:
     """The whole preparation job on all documents, with the number of clusters given."""
     config = PrepareConfig(n_clusters=CLUSTERS)
