@@ -16,8 +16,14 @@ BATCH_ROWS = 256
 
 
 def ready(spark: SparkSession) -> None:
-    """Ship the code to the workers and bound the batches they get."""
+    """Ship the code to the workers, bound the batches they get and hold the cut of files into splits.
+
+    The cut follows the number of cores at the time of a scan. Rows told apart by their place in the scan need the same
+    cut in every scan, also after an executor was lost in between.
+    """
     ship_package(spark)
+    if not spark.conf.get("spark.sql.files.minPartitionNum", None):
+        spark.conf.set("spark.sql.files.minPartitionNum", str(spark.sparkContext.defaultParallelism))
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
 
 
@@ -28,6 +34,13 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def free_name(wanted: str, taken: list[str]) -> str:
+    """``wanted``, with underscores before it until no column has this name."""
+    while wanted.lower() in {c.lower() for c in taken}:
+        wanted = f"_{wanted}"
+    return wanted
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 

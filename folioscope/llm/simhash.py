@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from folioscope.llm.common import map_batches, ready, stored
+from folioscope.llm.common import free_name, map_batches, ready, stored
 from folioscope.llm.components import connected_components
 
 BITS = 64
@@ -285,7 +285,8 @@ def drop_near_copies(docs: DataFrame, params: SimhashParams = SimhashParams(), k
     order = F.struct(F.col("_key").isNull(), "_key", "_row")
     first = marked.groupBy("fp").agg(F.min(order).alias("first"))
     kept = first.join(link_fingerprints(marked, params), "fp").groupBy("root").agg(F.min("first").alias("first"))
-    kept = stored(kept.select(F.col("first._row").alias("_kept_row")), "kept")
+    place = free_name("_kept_row", docs.columns)
+    kept = stored(kept.select(F.col("first._row").alias(place)), "kept")
     # the kept rows grow with the corpus: never broadcast, the same join at every size
-    numbered = docs.withColumn("_kept_row", F.monotonically_increasing_id())
-    return numbered.join(kept.hint("merge"), "_kept_row", "left_semi").drop("_kept_row")
+    numbered = docs.withColumn(place, F.monotonically_increasing_id())
+    return numbered.join(kept.hint("merge"), place, "left_semi").drop(place)

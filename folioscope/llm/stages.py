@@ -7,7 +7,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from folioscope.llm.common import ready
+from folioscope.llm.common import free_name, ready
 from folioscope.llm.features import FEATURES, text_features
 from folioscope.llm.mixing import MixParams, mix_sources
 from folioscope.llm.quality import AdditiveModel, QualityParams
@@ -27,19 +27,13 @@ def drop_low_quality(docs: DataFrame, model: AdditiveModel, params: QualityParam
     return docs.where(good(docs[text].cast("string")))
 
 
-def free_name(wanted: str, taken: list[str]) -> str:
-    """``wanted``, with underscores before it until no column has this name."""
-    while wanted.lower() in {c.lower() for c in taken}:
-        wanted = f"_{wanted}"
-    return wanted
-
-
 def mixed(docs: DataFrame, params: MixParams = MixParams(), text: str = "text", source: str = "source") -> DataFrame:
     """``docs`` with ``copies`` and ``taken`` words of every document the mix takes; the others go.
 
     Columns of these names are replaced. Rows are told apart by their place in the scan, so ``docs`` has to be a stored
     table.
     """
+    ready(docs.sparkSession)
     row = free_name("row", docs.columns)
     numbered = docs.withColumn(row, F.monotonically_increasing_id())
     taken = mix_sources(numbered, params, key=row, text=text, source=source).where("copies > 0")
@@ -47,4 +41,4 @@ def mixed(docs: DataFrame, params: MixParams = MixParams(), text: str = "text",
     kept: list[Column] = [numbered[c] for c in docs.columns if c.lower() not in ("copies", "taken")]
     # the mix grows with the corpus: never broadcast, the same join at every size
     joined = numbered.join(taken.hint("merge"), numbered[row] == taken["_mix_row"])
-    return joined.select(*kept, F.col("_mix_copies").alias("copies"), F.col("_mix_taken").alias("taken"))
+    return joined.select(*kept, taken["_mix_copies"].alias("copies"), taken["_mix_taken"].alias("taken"))
