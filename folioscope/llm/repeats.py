@@ -36,7 +36,8 @@ WRAP = (1 << 64) - 1
 @dataclass(frozen=True)
 class RepeatParams:
     """``bucket_bytes`` of texts are merged in one unit of work, from shards of ``shard_bytes``, and a task has about
-    ``task_buckets`` of them; an anchor with more than ``merged_texts`` different texts is compared by window digests."""
+    ``task_buckets`` of them; an anchor with more than ``merged_texts`` different texts is compared by window digests.
+    Anchors of a longer text are looked for in parts of ``part_bytes`` windows, which bounds memory."""
 
     length: int = 200
     anchor: int = 100
@@ -44,6 +45,7 @@ class RepeatParams:
     bucket_bytes: int = 400_000
     task_buckets: int = 4
     merged_texts: int = 1_000
+    part_bytes: int = 1 << 22
 
 
 class _Hashes:
@@ -118,17 +120,25 @@ def pieces(texts: list[bytes], most: int) -> Iterator[list[int]]:
 
 def corpus_runs(texts: DataFrame, params: RepeatParams) -> DataFrame:
     """``row, first, windows, anchor, digest`` of all runs of ``texts`` (``row, body``)."""
-    length, anchor = params.length, params.anchor
+    length, anchor, step = params.length, params.anchor, params.part_bytes
 
     def convert(batch: pa.RecordBatch):
-        rows, bodies = batch.column(0).to_numpy(), [b or b"" for b in batch.column(1).to_pylist()]
+        # every window lies in the part in which it starts
+        bodies, rows, begin = [], [], []
+        for row, body in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            for at in range(0, max(len(body or b"") - length + 1, 1), step):
+                bodies.append((body or b"")[at : at + step + length - 1])
+                rows.append(row)
+                begin.append(at)
+        rows, begin = np.array(rows), np.array(begin)
         parts = []
         for group in pieces(bodies, 1 << 20):
             own = [bodies[i] for i in group]
             which, first, count, key = anchor_runs(own, length, anchor)
             spans = zip(which.tolist(), first.tolist(), (first + count + length - 1).tolist())
             digest = np.array([xxhash.xxh3_64_intdigest(own[w][a:b]) for w, a, b in spans], dtype=np.uint64).view(np.int64)
-            parts.append((rows[np.array(group)][which], first, count, key, digest))
+            number = np.array(group)[which]
+            parts.append((rows[number], begin[number] + first, count, key, digest))
         yield from (np.concatenate(c) for c in zip(*parts))
 
     return map_batches(texts, convert, "row long, first int, windows int, anchor long, digest long")

@@ -76,6 +76,14 @@ def test_simhash_of_no_rows(spark):
     assert simhash.drop_near_copies(stored(empty, "t")).count() == 0
 
 
+def test_kept_rows_keep_all_columns(spark):
+    rows = [(1, "a b c d", 7, 1), (2, "a b c d", 8, 2), (3, None, 9, 3), (None, "a b c d", 9, 4)]
+    docs = stored(spark.createDataFrame(rows, DOCS + ", _kept_row int, _row int"), "t")
+    got = simhash.drop_near_copies(docs)
+    assert got.columns == docs.columns and sorted(map(tuple, got.collect())) == [rows[0], rows[2]]
+    assert spark.conf.get("spark.sql.files.minPartitionNum")
+
+
 def test_near_pairs_find_every_pair_at_every_distance(spark):
     rng = np.random.default_rng(3)
     base = rng.integers(0, 2**64, 40, dtype=np.uint64)
@@ -193,8 +201,9 @@ def test_repeats_equal_brute_force(spark):
     rows = [(i, t, "x") for i, t in enumerate(texts)] + [(None, texts[20], None), (900, None, "x")]
     docs = stored(spark.createDataFrame(rows, DOCS + ", kept string").repartition(4), "t")
     wanted = Counter(zip([r[0] for r in rows], brute_repeats([(r[1] or "").encode() for r in rows], 40)))
-    for most in (1000, 2):  # merged transforms, and single windows for all but the smallest groups
-        params = repeats.RepeatParams(length=40, anchor=20, shard_bytes=500, bucket_bytes=3000, merged_texts=most)
+    # merged transforms, and single windows for all but the smallest groups; texts in parts
+    for most, part in ((1000, 1 << 22), (2, 64)):
+        params = repeats.RepeatParams(length=40, anchor=20, shard_bytes=500, bucket_bytes=3000, merged_texts=most, part_bytes=part)
         got = repeats.remove_repeats(docs, params).collect()
         assert Counter((r.doc_id, (bytes(r.kept), r.n_bytes, r.n_removed, r.n_spans)) for r in got) == wanted
     assert repeats.remove_repeats(stored(docs.limit(0), "t")).count() == 0
