@@ -30,7 +30,8 @@ KINDS = ("email", "ip", "card", "phone", "secret")
 # a run of eight key characters or more with a digit in it
 CANDIDATE = r"(?<![A-Za-z0-9_/+-])(?=[A-Za-z_/+-]*+[0-9])[A-Za-z0-9_/+-]{8,}+"
 KEY_WORD = r"(?i)(?:password|passwd|pwd|secret|token|credential|api[_-]?key|access[_-]?key|auth)[\"']?\s*(?:[:=]|is)?\s*[\"']?$"
-CONTEXT = 32
+# characters before a candidate that are looked at; four candidates have as many
+CONTEXT, BACK = 32, 4
 BLOCK = 256
 SPAN = "array<struct<start:int,rank:int,end:int,kind:string>>"
 
@@ -44,16 +45,23 @@ def _total(values: Column) -> Column:
     return F.aggregate(values, F.lit(0), lambda a, x: a + x)
 
 
-def located(text: Column, pattern: str) -> Column:
+def located(text: Column, pattern: str, context: bool = False) -> Column:
     """``array<struct<start, end, hit>>`` of the leftmost matches of a pattern, in code points, end exclusive.
 
     The pieces between the matches give the places: their lengths are added up in blocks, so the work stays far from
-    quadratic in the number of matches.
+    quadratic in the number of matches. With ``context`` the CONTEXT characters before a match (``left``) and the one
+    after it (``right``) are added, also from the pieces: the whole text is not entered again for each match.
     """
-    kind = "array<struct<start:int,end:int,hit:string>>"
+    kind = f"array<struct<start:int,end:int,hit:string{',left:string,right:string' if context else ''}>>"
 
     def placed(found: Column) -> Column:
         hits, gaps = found["hits"], found["gaps"]
+
+        def sides(i: Column) -> list[Column]:
+            before = [piece for k in range(BACK, 0, -1) for piece in (F.get(hits, i - k), F.get(gaps, i - k + 1))]
+            left = F.substring(F.concat_ws("", *before), -CONTEXT, CONTEXT)
+            return [left.alias("left"), F.substring(F.get(gaps, i + 1), 1, 1).alias("right")] if context else []
+
         steps = F.transform(hits, lambda h, i: F.char_length(h) + F.char_length(F.get(gaps, i)))
 
         def starts(s: Column) -> Column:
@@ -61,7 +69,7 @@ def located(text: Column, pattern: str) -> Column:
                 block = F.floor(i / BLOCK).cast("int")
                 return _total(F.slice(s["sums"], F.lit(1), block)) + _total(F.slice(s["steps"], block * BLOCK + 1, i - block * BLOCK)) + F.char_length(F.get(gaps, i))
 
-            return F.transform(hits, lambda h, i: let(start(h, i), lambda at: F.struct(at.alias("start"), (at + F.char_length(h)).alias("end"), h.alias("hit"))))
+            return F.transform(hits, lambda h, i: let(start(h, i), lambda at: F.struct(at.alias("start"), (at + F.char_length(h)).alias("end"), h.alias("hit"), *sides(i))))
 
         blocks = lambda s: F.transform(
             F.sequence(F.lit(0), F.floor((F.size(s) - 1) / BLOCK).cast("int")), lambda b: _total(F.slice(s, b * BLOCK + 1, F.lit(BLOCK)))
@@ -148,23 +156,35 @@ def form(value: Column, left: Column, in_base: Column) -> dict[str, Column]:
 
 
 
+def blocked(spans: Column) -> Column:
+    """Sorted spans in blocks, each with the stretch of text it lies in."""
+    last = F.greatest(F.floor((F.size(spans) - 1) / BLOCK).cast("int"), F.lit(0))
+
+    def block(part: Column) -> Column:
+        first, end = F.array_min(F.transform(part, lambda s: s["start"])), F.array_max(F.transform(part, lambda s: s["end"]))
+        return F.struct(F.coalesce(first, F.lit(0)).alias("start"), F.coalesce(end, F.lit(0)).alias("end"), part.alias("spans"))
+
+    return F.transform(F.sequence(F.lit(0), last), lambda b: let(F.slice(spans, b * BLOCK + 1, F.lit(BLOCK)), block))
+
+
+def overlapped(c: Column, blocks: Column) -> Column:
+    """True where a span of ``blocked`` spans overlaps ``c``; blocks elsewhere in the text are passed over."""
+    meets = lambda s: (s["start"] < c["end"]) & (s["end"] > c["start"])
+    return F.exists(blocks, lambda b: meets(b) & F.exists(b["spans"], meets))
+
 
 def candidates(text: Column, base: Column) -> Column:
     """``array<struct<start, end, votes, form>>``: votes and form as strings of one character per labeler or feature."""
 
-    def judged(c: Column) -> Column:
-        left = F.substring(text, F.greatest(c["start"] - CONTEXT, F.lit(0)) + 1, F.least(F.lit(CONTEXT), c["start"]))
-        right = F.substring(text, c["end"] + 1, F.lit(1))
-        in_base = F.exists(base, lambda b: (b["start"] < c["end"]) & (b["end"] > c["start"]))
-
-        def written(x: Column) -> Column:
-            votes = F.concat(*[(v + 1).cast("string") for v in labelers(c["hit"], x["left"], x["right"], x["in_base"]).values()])
-            seen = F.concat(*[f.cast("int").cast("string") for f in form(c["hit"], x["left"], x["in_base"]).values()])
+    def judged(c: Column, blocks: Column) -> Column:
+        def written(in_base: Column) -> Column:
+            votes = F.concat(*[(v + 1).cast("string") for v in labelers(c["hit"], c["left"], c["right"], in_base).values()])
+            seen = F.concat(*[f.cast("int").cast("string") for f in form(c["hit"], c["left"], in_base).values()])
             return F.struct(c["start"].alias("start"), c["end"].alias("end"), votes.alias("votes"), seen.alias("form"))
 
-        return let(F.struct(left.alias("left"), right.alias("right"), in_base.alias("in_base")), written)
+        return let(overlapped(c, blocks), written)
 
-    return F.transform(located(text, CANDIDATE), judged)
+    return let(blocked(base), lambda blocks: F.transform(located(text, CANDIDATE, context=True), lambda c: judged(c, blocks)))
 
 
 # ---------------------------------------------------------------- learning from votes
@@ -274,7 +294,7 @@ def all_spans(base: Column, cands: Column, model: SpanModel | None) -> Column:
     """Base spans and accepted candidates that overlap none of them, sorted."""
     if model is None:
         return base
-    fresh = F.filter(cands, lambda c: model.accepts(c["form"]) & ~F.exists(base, lambda b: (b["start"] < c["end"]) & (b["end"] > c["start"])))
+    fresh = let(blocked(base), lambda blocks: F.filter(cands, lambda c: model.accepts(c["form"]) & ~overlapped(c, blocks)))
     added = F.transform(fresh, lambda c: span_of(c, "secret"))
     return F.array_sort(F.concat(base, added.cast(SPAN)))
 

@@ -157,6 +157,22 @@ def test_base_spans_equal_plain_patterns(spark):
     assert pii.find_pii(docs.limit(0)).count() == 0
 
 
+def test_candidates_see_their_surroundings(spark):
+    rng = np.random.default_rng(3)
+    parts = ["token=", " ", "é", "abc12345", "Q9-" * 6, "a@b.co ", '"', ": ", "1.2.3.4 ", "x" * 40 + "7"]
+    texts = ["".join(rng.choice(parts, 60)) for _ in range(20)] + ["abc12345 " * 1_000 + "a@b.co 1.1.1.1 " * 600]
+    docs = spark.createDataFrame(list(enumerate(texts)), DOCS)
+    near = pii.located(F.col("text"), pii.CANDIDATE, context=True)
+    for r in docs.select("text", near.alias("near"), pii.base_spans(F.col("text")).alias("base")).collect():
+        assert r.near
+        for c in r.near:
+            assert (r.text[c.start : c.end], r.text[max(c.start - pii.CONTEXT, 0) : c.start], r.text[c.end : c.end + 1]) == (c.hit, c.left, c.right)
+    both = docs.select(near.alias("near"), pii.base_spans(F.col("text")).alias("base"))
+    met = both.select("near", "base", pii.let(pii.blocked(F.col("base")), lambda b: F.transform("near", lambda c: pii.overlapped(c, b))).alias("met"))
+    for r in met.collect():
+        assert r.met == [any(b.start < c.end and b.end > c.start for b in r.base) for c in r.near]
+
+
 def test_secrets_are_learned_and_redacted(spark):
     docs = table(spark, "/root/testdata/sf0.01", "documents")
     planted = {(r.doc_id, m[2]) for r in docs.collect() for m in re.finditer(r'(password=|token = ")([0-9a-f]{10,})', r.text)}
@@ -316,6 +332,8 @@ def test_mix_edge_cases(spark):
     assert [tuple(r)[:3] for r in mixing.mix_sources(only).collect()] == [(1, None, 0)]
     kept = stages.mixed(stored(docs, "t"))
     assert kept.columns == ["doc_id", "text", "source", "size", "copies", "taken"] and all(r.copies > 0 for r in kept.collect())
+    clash = stages.mixed(stored(docs.select("*", F.lit(5).alias("_mix_copies"), F.lit("r").alias("row")), "t"))
+    assert {(r["_mix_copies"], r["row"]) for r in clash.collect()} == {(5, "r")}
 
 
 # ---------------------------------------------------------------- pipeline
