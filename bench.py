@@ -64,6 +64,13 @@ def main() -> None:
     for n in (1, 100, 200):
         queries = w.queries(n)
         timed(f"recommend_top10_{n}", lambda: done(similarity.recommend_many(w.papers, tfidf, queries)))
+    one = w.queries(1).first()[0]
+    runs = []
+    for _ in range(4):  # the first warms up
+        start = time.perf_counter()
+        done(similarity.recommend(w.papers, tfidf, one))
+        runs.append(time.perf_counter() - start)
+    seconds["recommend_one_id"] = round(sorted(runs[1:])[1], 3)
     queries = w.queries(200)
     timed("recommend_dense_top10_200", lambda: done(similarity.recommend_many(w.papers, dense, queries)))
     timed("similar_vectors_top10_100", lambda: done(similarity.topk(w.vectors, w.vector_queries(), 10)))

@@ -123,11 +123,17 @@ class Scorer:
 
     def __init__(self, queries: Rows):
         self.queries = queries
+        self.halves: list[Rows] = []
         if queries.index is None:
             self.matrix = queries.value.T
         else:
             # only terms that occur in a query get a row of the query matrix
             self.known, compact = np.unique(queries.index, return_inverse=True)
+            if len(self.known) * len(queries) > STEP and len(queries) > 1:
+                # too many cells: halves share fewer terms, and their matrices live one at a time
+                half = len(queries) // 2
+                self.halves = [queries.part(0, half), queries.part(half, len(queries))]
+                return
             self.matrix = np.zeros((len(self.known), len(queries)))
             self.matrix[compact, np.repeat(np.arange(len(queries)), queries.length)] = queries.value
 
@@ -135,6 +141,8 @@ class Scorer:
         """Scores with one line per row and one column per query."""
         if rows.index is None:
             return rows.value @ self.matrix
+        if self.halves:
+            return np.concatenate([Scorer(half)(rows) for half in self.halves], axis=1)
         out = np.zeros((len(rows), len(self.queries)))
         if not len(self.known):
             return out

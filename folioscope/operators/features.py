@@ -15,13 +15,14 @@ import pandas as pd
 from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct, Normalizer
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.linalg import Vectors
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from folioscope.functions import text as tx
 from folioscope.functions.wordlists import VECTOR_STOP_WORDS
 from folioscope.schemas import VOCABULARY
 from folioscope.settings import EMBEDDING_DIM, ENCODE_BATCH, MAX_TERMS
+from folioscope.sources.tables import write_parquet
 
 
 def term_counts(docs: DataFrame, text_col: str = "final_text", **kw) -> DataFrame:
@@ -34,7 +35,7 @@ def _count(terms: DataFrame) -> DataFrame:
     return terms.groupBy("term").agg(F.count("*").alias("ctf"))
 
 
-def top_terms(docs: DataFrame, text_col: str, max_terms: int, stop_words: Sequence[str] | None) -> list:
+def top_terms(docs: DataFrame, text_col: str, max_terms: int, stop_words: Sequence[str] | None, ngram_max: int = 2) -> list:
     """The ``max_terms`` terms with the highest corpus count (ties alphabetical) as rows ``(term, ctf)``.
 
     A bigram is never more frequent than either of its words. If at least ``max_terms`` single words exist, the
@@ -44,6 +45,8 @@ def top_terms(docs: DataFrame, text_col: str, max_terms: int, stop_words: Sequen
     """
     unigrams = _count(docs.select(F.explode(tx.tokens(text_col, stop_words)).alias("term")))
     best = unigrams.orderBy(F.desc("ctf"), "term").limit(4 * max_terms).collect()
+    if ngram_max < 2:
+        return best[:max_terms]
     pairs = docs.select(F.explode(tx.let(tx.tokens(text_col, stop_words), tx.bigrams)).alias("term"))
     if len(best) >= max_terms:
         floor = best[max_terms - 1].ctf
@@ -105,6 +108,7 @@ def fit_tfidf(
     text_col: str = "final_text",
     max_terms: int = MAX_TERMS,
     stop_words: Sequence[str] = VECTOR_STOP_WORDS,
+    ngram_max: int = 2,
 ) -> TfidfModel:
     """Vocabulary cap by corpus count, then smooth idf ``ln((1+N)/(1+df)) + 1``. Runs jobs over ``docs``.
 
@@ -113,20 +117,33 @@ def fit_tfidf(
     if max_terms < 1:
         raise ValueError("max_terms must be positive")
     spark = docs.sparkSession
-    chosen = top_terms(docs, text_col, max_terms, stop_words)
+    chosen = top_terms(docs, text_col, max_terms, stop_words, ngram_max)
     terms = sorted((r.term for r in chosen), key=str.encode)
     ctf = {r.term: r.ctf for r in chosen}
     n_docs = docs.count()
     df_of = dict.fromkeys(range(len(terms)), 0)
     if terms:
-        bare = TfidfModel(None, terms, [], tuple(stop_words))
+        bare = TfidfModel(None, terms, [], tuple(stop_words), ngram_max)
         present = bare._counted(docs.select(text_col), text_col).select(
             F.explode(F.unwrap_udt("_tf")["indices"]).alias("term_idx")
         )
         df_of.update({r.term_idx: r["count"] for r in present.groupBy("term_idx").count().collect()})
     idf = [float(np.log((1 + n_docs) / (1 + df_of[i])) + 1) for i in range(len(terms))]
     rows = [(t, ctf[t], df_of[i], idf[i], i) for i, t in enumerate(terms)]
-    return TfidfModel(spark.createDataFrame(rows, VOCABULARY), terms, idf, tuple(stop_words))
+    return TfidfModel(spark.createDataFrame(rows, VOCABULARY), terms, idf, tuple(stop_words), ngram_max)
+
+
+def write_model(model: TfidfModel, path: str) -> None:
+    """Stores the vocabulary (``vocab``) and then the settings it was fitted with (``vectoriser``) below ``path``."""
+    write_parquet(model.vocab, f"{path}/vocab")
+    settings = [(list(model.stop_words), model.ngram_max)]
+    write_parquet(model.vocab.sparkSession.createDataFrame(settings, "stop_words array<string>, ngram_max int"), f"{path}/vectoriser")
+
+
+def read_model(spark: SparkSession, path: str) -> TfidfModel:
+    """The model stored by ``write_model``: it counts the terms of new texts as the fitted one does."""
+    settings = spark.read.parquet(f"{path}/vectoriser").first()
+    return TfidfModel.from_table(spark.read.parquet(f"{path}/vocab"), settings.stop_words, settings.ngram_max)
 
 
 def long_tfidf(rows: DataFrame, vocab: DataFrame) -> DataFrame:

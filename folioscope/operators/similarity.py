@@ -218,19 +218,29 @@ def answer_requests(
     """Batch form of the recommendation endpoint over ``(request_id, paper_id, k)``.
 
     Known papers get one row per result with status ``ok`` (one row without a result for an empty list), unknown
-    ones a single ``error`` row with a message. Lists are ranked once, to the largest K asked for.
+    ones a single ``error`` row with a message. Lists are ranked once per paper, in classes of K up to ten times as
+    large as the smallest of the class: a request for a very long list does not lengthen the others.
     """
     asked = requests.select("request_id", "paper_id", requested_k("k", default_k).alias("top_k"))
     named = asked.groupBy("paper_id").agg(F.max("top_k").alias("k"))
     ids = features.select(F.col("id").alias("paper_id"))
     known = ids.join(carrier(requests, limits)(named), "paper_id")
-    size = known.agg(F.count("*").alias("n"), F.max("k").alias("k")).first()
-    most = min(size.k or 0, features.count()) if (size.k or 0) > TOP_K else size.k or 0
-    lists = topk(features, known.select(F.col("paper_id").alias("query_id")), int(most), limits)
+    if (known.agg(F.max("k").alias("k")).first().k or 0) > TOP_K:
+        known = known.withColumn("k", F.least("k", F.lit(features.count())))
+    length = F.when(F.col("k") <= TOP_K, F.lit(0)).otherwise(F.ceil(F.log10(F.col("k") / TOP_K)))
+    known = known.withColumn("length", length)
+    classes = known.groupBy("length").agg(F.count("*").alias("n"), F.max("k").alias("k")).orderBy("length").collect()
+    lists = None
+    for c in classes:
+        own = known.where(F.col("length") == c.length).select(F.col("paper_id").alias("query_id"))
+        ranked = topk(features, own, c.k, limits)
+        lists = ranked if lists is None else lists.unionByName(ranked)
+    if lists is None:
+        lists = topk(features, known.select(F.col("paper_id").alias("query_id")), 0, limits)
     # a paper may be asked for very often: its list is sent to the requests, not the requests to its list
-    bound = size.n * most
+    bound = sum(c.n * c.k for c in classes)
     results = with_metadata(lists, papers, bound, limits).withColumnRenamed("query_id", "paper_id")
-    send_ids, send_lists = carrier(known, limits, size.n), carrier(results, limits, bound)
+    send_ids, send_lists = carrier(known, limits, sum(c.n for c in classes)), carrier(results, limits, bound)
     flagged = asked.join(send_ids(known.select("paper_id", F.lit(True).alias("_known"))), "paper_id", "left")
     wanted = flagged.join(send_lists(results), "paper_id", "left").where(
         F.col("rank").isNull() | (F.col("rank") <= F.col("top_k")) | ((F.col("top_k") == 0) & (F.col("rank") == 1))

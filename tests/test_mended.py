@@ -4,10 +4,11 @@ from __future__ import annotations
 
 import time
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from folioscope.operators import cleaning, evaluation
+from folioscope.operators import blocks, cleaning, evaluation, features, kmeans, similarity
 from folioscope.plans.prepare import PrepareConfig, prepare
 from folioscope.sources.papers import head, load_papers
 
@@ -28,6 +29,46 @@ def test_diversity_does_not_depend_on_length(spark):
     assert got == pytest.approx({2: 0.0, 3: 2 / 3, 4: 5 / 6})
 
 
+def test_reloaded_model_keeps_its_settings(spark, tmp_path):
+    docs = spark.createDataFrame([("a", 1, "alpha the gamma the"), ("b", 2, "the beta alpha")], "id string, seq long, final_text string")
+    model = features.fit_tfidf(docs, stop_words=("alpha",), ngram_max=1)
+    assert model.terms == ["beta", "gamma", "the"]
+    features.write_model(model, str(tmp_path))
+    again = features.read_model(spark, str(tmp_path))
+    assert again.transform(docs).collect() == model.transform(docs).collect()
+
+
+def test_many_sparse_queries_are_scored_in_halves(monkeypatch):
+    rng = np.random.default_rng(0)
+    index = [np.sort(rng.choice(50, 6, replace=False)) for _ in range(9)]
+    rows = blocks.Rows(np.arange(9), np.arange(9), rng.random(54), np.full(9, 6), np.concatenate(index))
+    whole = blocks.Scorer(rows)(rows)
+    monkeypatch.setattr(blocks, "STEP", 60)
+    scorer = blocks.Scorer(rows)
+    assert scorer.halves and np.allclose(scorer(rows), whole)
+
+
+def test_one_long_list_leaves_the_others_short(spark, monkeypatch):
+    papers = spark.createDataFrame([(str(i), f"t{i}", "x", "a", "c", i) for i in range(300)], "id string, title string, abstract string, authors string, categories string, seq long")
+    rng = np.random.default_rng(1)
+    vectors = spark.createDataFrame([(str(i), i, rng.random(4).tolist()) for i in range(300)], "id string, seq long, embedding array<double>")
+    asked, plain = [], similarity.topk
+    monkeypatch.setattr(similarity, "topk", lambda f, q, k, limits: asked.append((q.count(), k)) or plain(f, q, k, limits))
+    requests = spark.createDataFrame([(1, "3", "4"), (2, "5", "1000000"), (3, "7", "6"), (4, "nobody", "2")], "request_id int, paper_id string, k string")
+    got = similarity.answer_requests(requests, papers, vectors).groupBy("request_id").count().collect()
+    assert {r.request_id: r["count"] for r in got} == {1: 4, 2: 299, 3: 6, 4: 1} and sorted(asked) == [(1, 300), (2, 6)]
+
+
+def test_starting_rows_do_not_depend_on_partitions(spark):
+    rng = np.random.default_rng(2)
+    rows = [(str(i), i, [float(i % 3) * 10 + rng.random(), rng.random()]) for i in range(600)]
+    points = spark.createDataFrame(rows, "id string, seq long, embedding array<double>")
+    starts = [kmeans._start_rows(p, 3, 42) for p in (points.coalesce(1), points.repartition(7))]
+    assert (starts[0][0] == starts[1][0]).all() and starts[0][1].sum() == 600 and len(starts[0][0]) == 1 + 4 * 100
+    same = spark.createDataFrame([(str(i), i, [1.0, 2.0]) for i in range(5)], points.schema)
+    assert kmeans.kmeans(same, 2, restarts=2)[0].count() == 5
+
+
 def test_lemma_of_a_very_long_word(spark):
     forms = spark.createDataFrame([("x" * 60_000 + "s", 1), ("papers", 2), ("paper", 3), ("bosses", 1), ("boss", 1)], "form string, n long")
     cleaning.lemma_map(forms.limit(2)).collect()
@@ -46,3 +87,5 @@ def test_preparation_takes_every_row_and_the_last_of_an_id(spark, tmp_path):
     kept = spark.read.parquet(f"{tmp_path}/out/papers")
     assert sorted(r.seq for r in kept.select("seq").collect()) == list(range(10, 30))
     assert kept.where(F.col("id") == "3").first().seq == 23
+    with pytest.raises(ValueError, match="other settings"):
+        prepare(spark, papers, f"{tmp_path}/out", PrepareConfig(eval_queries=5, top_k=4, svd_components=3, n_clusters=2, restarts=1))
