@@ -28,10 +28,22 @@ PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
 KINDS = ("email", "ip", "card", "phone", "secret")
 
 # a run of eight key characters or more with a digit in it
-CANDIDATE = r"(?<![A-Za-z0-9_/+-])(?=[A-Za-z_/+-]*+[0-9])[A-Za-z0-9_/+-]{8,}+"
-KEY_WORD = r"(?i)(?:password|passwd|pwd|secret|token|credential|api[_-]?key|access[_-]?key|auth)[\"']?\s*(?:[:=]|is)?\s*[\"']?$"
-# characters before a candidate that are looked at; four candidates have as many
-CONTEXT, BACK = 32, 4
+RUN = r"(?<![A-Za-z0-9_/+-])(?=[A-Za-z_/+-]*+[0-9])[A-Za-z0-9_/+-]{8,}+"
+KEYS = r"(?i:password|passwd|pwd|secret|token|credential|api[_-]?key|access[_-]?key|auth)[\"']?"
+KEY_WORD = KEYS + r"\s*(?:[:=]|is)?\s*[\"']?$"
+# what is assigned to a key word, of any length and form: up to the closing quote of the line, or else a run without
+# blanks that ends before closing punctuation, the next name=value pair or markup
+ASSIGNED = KEYS + r"\s{0,8}[:=]{1,2}>?\s{0,8}"
+APART = r"(?![,;&][A-Za-z0-9_-]++[=:]|<[A-Za-z/!])"
+CLOSING = r".,;:?)\]}\"'"
+VALUE = (
+    r"(?:(?<=\")[^\"\\\n]*+(?:\\[^\n][^\"\\\n]*+)*+(?<=[^\"\s])(?=\")|(?<=')[^'\\\n]*+(?:\\[^\n][^'\\\n]*+)*+(?<=[^'\s])(?=')"
+    rf"|(?![=:>\"'\s])(?:(?:{APART}[{CLOSING}])*+{APART}[^\s{CLOSING}])++)"
+)
+# the short look behind spares most places the long one
+CANDIDATE = rf"(?<=[:=>\s\"'])(?<=[:=]>?\s{{0,8}}[\"']?)(?<={ASSIGNED}[\"']?){VALUE}|{RUN}"
+# characters before a candidate that are looked at; so many candidates and the pieces between them have as many
+CONTEXT, BACK = 32, 16
 BLOCK = 256
 SPAN = "array<struct<start:int,rank:int,end:int,kind:string>>"
 
@@ -128,11 +140,13 @@ def base_spans(text: Column) -> Column:
 def labelers(value: Column, left: Column, right: Column, in_base: Column) -> dict[str, Column]:
     """Votes on a candidate: 1 a secret, -1 none, 0 no opinion."""
     yes, no, none = F.lit(1), F.lit(-1), F.lit(0)
+    assigned = left.rlike(ASSIGNED + "[\"']?$")
     return {
         "hex_form": F.when(value.rlike("^(?:[0-9a-f]{16,}|[0-9A-F]{16,})$") & value.rlike("[A-Fa-f]"), yes).otherwise(none),
-        "mixed_form": F.when(value.rlike("^[0-9-]+$") | (F.length(value) < 10), no)
+        "mixed_form": F.when(~assigned & (value.rlike("^[0-9-]+$") | (F.length(value) < 10)), no)
         .when((F.length(value) >= 16) & value.rlike("[0-9].*[A-Za-z].*[0-9]"), yes).otherwise(none),
         "key_word": F.when(left.rlike(KEY_WORD), yes).otherwise(none),
+        "assigned": F.when(assigned, yes).otherwise(none),
         "context": F.when(left.rlike(r"[=:]\s*[\"']?$"), yes).when(left.rlike(r"(?:^|[A-Za-z,.;])\s$"), no).otherwise(none),
         "quotes": F.when(left.rlike("[\"']$") & right.rlike("^[\"']"), yes).otherwise(none),
         "other_kind": F.when(in_base, no).otherwise(none),
@@ -167,9 +181,12 @@ def blocked(spans: Column) -> Column:
     return F.transform(F.sequence(F.lit(0), last), lambda b: let(F.slice(spans, b * BLOCK + 1, F.lit(BLOCK)), block))
 
 
-def overlapped(c: Column, blocks: Column) -> Column:
-    """True where a span of ``blocked`` spans overlaps ``c``; blocks elsewhere in the text are passed over."""
-    meets = lambda s: (s["start"] < c["end"]) & (s["end"] > c["start"])
+def overlapped(c: Column, blocks: Column, wholly: bool = False) -> Column:
+    """True where a span of ``blocked`` spans overlaps ``c``, or holds it ``wholly``; blocks elsewhere are passed over."""
+
+    def meets(s: Column) -> Column:
+        return (s["start"] <= c["start"]) & (s["end"] >= c["end"]) if wholly else (s["start"] < c["end"]) & (s["end"] > c["start"])
+
     return F.exists(blocks, lambda b: meets(b) & F.exists(b["spans"], meets))
 
 
@@ -182,7 +199,7 @@ def candidates(text: Column, base: Column) -> Column:
             seen = F.concat(*[f.cast("int").cast("string") for f in form(c["hit"], c["left"], in_base).values()])
             return F.struct(c["start"].alias("start"), c["end"].alias("end"), votes.alias("votes"), seen.alias("form"))
 
-        return let(overlapped(c, blocks), written)
+        return let(overlapped(c, blocks, wholly=True), written)
 
     return let(blocked(base), lambda blocks: F.transform(located(text, CANDIDATE, context=True), lambda c: judged(c, blocks)))
 
@@ -291,10 +308,10 @@ def spot(docs: DataFrame, text: str, keep: list[str]) -> DataFrame:
 
 
 def all_spans(base: Column, cands: Column, model: SpanModel | None) -> Column:
-    """Base spans and accepted candidates that overlap none of them, sorted."""
+    """Base spans and accepted candidates that lie wholly inside none of them, sorted; they may overlap."""
     if model is None:
         return base
-    fresh = let(blocked(base), lambda blocks: F.filter(cands, lambda c: model.accepts(c["form"]) & ~overlapped(c, blocks)))
+    fresh = let(blocked(base), lambda blocks: F.filter(cands, lambda c: model.accepts(c["form"]) & ~overlapped(c, blocks, wholly=True)))
     added = F.transform(fresh, lambda c: span_of(c, "secret"))
     return F.array_sort(F.concat(base, added.cast(SPAN)))
 

@@ -185,6 +185,22 @@ def test_secrets_are_learned_and_redacted(spark):
     assert {r.doc_id: r.text for r in few.collect()} == {1: "write [EMAIL] or call [PHONE] é", 2: None, 3: ""}
 
 
+def test_secrets_around_card_digits_and_assigned_values_go_whole(spark):
+    texts = {
+        10**9 + 1: ("x password=a4532015112830366bcdef0123456789abcdef01 y", "x password=[SECRET] y"),
+        10**9 + 2: ('x token = "4532015112830366f0e01b4ad40cdbb6ae7f578a" y', 'x token = "[CARD]" y'),
+        10**9 + 3: ('then password = "correcthorsebattery" was set', 'then password = "[SECRET]" was set'),
+        10**9 + 4: ("login with pwd=ab12x, please", "login with pwd=[SECRET], please"),
+        10**9 + 5: ("api_key: 'correct horse battery' token=ab&user=x secret=Tr0ub4dor&3", "api_key: '[SECRET]' token=[SECRET]&user=x secret=[SECRET]"),
+        10**9 + 6: ("the author: Ann, a token of love, token: a@b.co", "the author: Ann, a token of love, token: [EMAIL]"),
+    }
+    odd = spark.createDataFrame([(k, t) for k, (t, _) in texts.items()], DOCS)
+    for docs in (odd, odd.unionByName(table(spark, SMALL, "documents").select("doc_id", "text"))):
+        assert {r.doc_id: r.text for r in pii.redact(docs).where("doc_id > 1000000000").collect()} == {k: c for k, (_, c) in texts.items()}
+    long = spark.createDataFrame([(1, "token='" * 20_000), (2, 'pwd="' + ",a" * 50_000), (3, "secret" * 20_000 + "=" + "\\x" * 20_000)], DOCS)
+    assert pii.find_pii(long).count() == 3
+
+
 def test_reliabilities_follow_the_votes():
     rng = np.random.default_rng(0)
     truth = rng.random(4000) < 0.3
