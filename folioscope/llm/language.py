@@ -24,10 +24,12 @@ SALTS = 16
 
 @dataclass(frozen=True)
 class LanguageParams:
-    """Texts of at most ``sample_rows`` labelled keys are learned from, the first by a hash of the key; the model keeps the
+    """Texts of at most ``sample_rows`` labelled keys are learned from, the first by a hash of the key, and beside them the
+    first keys of every language up to ``least_rows``, so that each language of the table is learned; the model keeps the
     ``words`` most frequent words and ``grams`` most frequent n-grams per language and length. All texts are scored."""
 
-    sample_rows: int = 10_000
+    sample_rows: int = 20_000
+    least_rows: int = 100
     words: int = 20_000
     grams: int = 5_000
     longest: int = 4
@@ -104,13 +106,25 @@ class LanguageModel:
         return self.languages[best], float(share[best] / share.sum())
 
 
+def sampled_keys(keyed: DataFrame, params: LanguageParams) -> DataFrame:
+    """``key, lang`` of the first ``sample_rows`` keys by hash and of the first ``least_rows`` keys of every language."""
+    pairs = keyed.select("key", "lang").distinct().withColumn("hash", F.xxhash64(F.col("key").cast("string")))
+    keys = pairs.select("key", "hash").distinct().orderBy("hash", "key").limit(params.sample_rows)
+    first = pairs.join(F.broadcast(keys), "key", "left_semi").select("key", "lang")
+    # ranked in salted parts first, so that a language with most of the keys is spread
+    quota = pairs.withColumn("salt", F.pmod("hash", F.lit(SALTS)))
+    for by in (["lang", "salt"], ["lang"]):
+        place = F.row_number().over(Window.partitionBy(*by).orderBy("hash", "key"))
+        quota = quota.withColumn("place", place).where(F.col("place") <= params.least_rows)
+    return first.unionByName(quota.select("key", "lang")).distinct()
+
+
 def learn_languages(labelled: DataFrame, params: LanguageParams, key: str, text: str, lang: str) -> LanguageModel:
     """Counts of words and n-grams per language, taken on Spark and cut to the bounds of ``params`` before they leave it."""
     longest = params.longest
     keyed = labelled.select(F.col(key).alias("key"), F.col(lang).cast("string").alias("lang"), F.col(text).cast("string").alias("text"))
     keyed = keyed.where("key is not null and lang is not null and text is not null")
-    chosen = keyed.select("key").distinct().orderBy(F.xxhash64(F.col("key").cast("string")), "key").limit(params.sample_rows)
-    sample = keyed.join(F.broadcast(chosen), "key", "left_semi").select("lang", "text")
+    sample = keyed.join(F.broadcast(sampled_keys(keyed, params)), ["key", "lang"], "left_semi").select("lang", "text")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -108,6 +108,17 @@ def test_language_edge_cases(spark):
     assert language.identify_languages(asked.limit(0), model, params).count() == 0
 
 
+def test_a_rare_language_is_learned_beside_a_full_sample(spark):
+    rows = [(i, "the cat sat on the mat", "en") for i in range(500)] + [(1000 + i, "der hund schläft im garten", "de") for i in range(2)]
+    docs = spark.createDataFrame(rows, DOCS + ", lang string")
+    params = language.LanguageParams(sample_rows=5)
+    model = language.learn_languages(docs, params, "doc_id", "text", "lang")
+    assert model.languages == ["de", "en"] and language.LanguageParams().sample_rows == 20_000
+    assert model.predict("der garten", {}, 10)[0] == "de"
+    sizes = Counter(r.lang for r in language.sampled_keys(docs.withColumnRenamed("doc_id", "key"), params).collect())
+    assert sizes == {"de": 2, "en": params.least_rows}
+
+
 def test_back_off_takes_the_longest_known_gram():
     model = language.LanguageModel(["a", "b"], [{"known": 0}, {"x": 1, "y": 2}, {"xy": 3}], np.zeros((4, 2)))
     assert model.back_off("xy") == [3, 2] and model.back_off("zz") == []
