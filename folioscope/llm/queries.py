@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from folioscope.llm import language, mixing, pii, quality, repeats, simhash, tiling, tokens, url_lists, vectors
+from folioscope.llm import bpe, language, mixing, pii, prefix_trie, quality, repeats, runs, simhash, tiling, tokens, url_lists, vectors
 from folioscope.llm.common import fold, ready, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -128,3 +128,57 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What is left of every document without byte strings that repeat, as counts and a digest."""
     cut = repeats.remove_repeats(table(spark, sf_dir, "documents"))
     return cut.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query
+def op11_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token ids of every document and the text that they decode to, as a count and digests."""
+    coded = bpe.round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+    return coded.select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
+def looped(docs: DataFrame) -> DataFrame:
+    """Documents whose number says so go round in a loop: from a word on, the text repeats a stretch of its own words."""
+    h = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary"))
+    words = F.regexp_extract_all(F.coalesce("text", F.lit("")), F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0))
+    parts = docs.select("doc_id", "text", h.alias("h")).withColumn("words", F.when(F.col("h") % 10 == 0, words))
+    parts = parts.withColumn("n", F.size("words")).withColumn("g", F.expr("h div 10"))
+    parts = parts.withColumn("a", F.when(F.col("n") > 0, F.col("g") % F.col("n")))
+    parts = parts.withColumn("p", 1 + F.expr("(n - a) div (3 + g % 8)"))
+    turned = F.expr("array_join(transform(words, (w, i) -> if(i < a, w, get(words, int(a + (i - a) % p)))), ' ')")
+    return parts.select("doc_id", F.when((F.col("h") % 10 == 0) & (F.col("n") > 0), turned).otherwise(F.col("text")).alias("text"))
+
+
+@query
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Periodic runs of words of every document, some of which are made to loop, and the text without repeated periods."""
+    found = runs.periodic_runs(looped(table(spark, sf_dir, "documents")))
+    listed = F.array_join(F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n"))), "")
+    return found.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), "best.start", "best.length", "best.period",
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"), F.sha2(listed, 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+def branched(placed: DataFrame) -> DataFrame:
+    """Each conversation after its first turns of another: the first turns of the hundred's first one, then its own rest."""
+    shared = F.crc32(F.col("conv_id").cast("string").cast("binary")) % 6
+    convs = placed.where("place = 0").select("conv_id", (F.col("conv_id") - F.col("conv_id") % 100).alias("base"), shared.alias("shared"))
+    heads = placed.where("place < 5 and conv_id % 100 = 0").select(F.col("conv_id").alias("base"), "place", "id")
+    lent = convs.join(heads, "base").where("place < shared").select("conv_id", "place", "id")
+    sizes = heads.groupBy("base").agg(F.count("*").alias("lent"))
+    before = convs.join(sizes, "base", "left").select("conv_id", "shared", F.least("shared", F.coalesce("lent", F.lit(0))).alias("lent"))
+    own = placed.join(before, "conv_id").where("place >= shared")
+    rest = own.select("conv_id", (F.col("place") - F.col("shared") + F.col("lent")).alias("place"), "id")
+    return lent.unionByName(rest).unionByName(prefix_trie.present(convs))
+
+
+@query
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nodes of the prefix trie of all conversations, each rebuilt on the first turns of another."""
+    ready(spark)
+    return prefix_trie.prefix_trie(branched(prefix_trie.placed_turns(table(spark, sf_dir, "conversations"))))
