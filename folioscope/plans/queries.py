@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from folioscope import settings
 from folioscope.functions import text as tx
-from folioscope.operators import cleaning, clustering, evaluation, features, keywords, kmeans, landscape, lookup, similarity
+from folioscope.operators import cleaning, clustering, evaluation, features, keywords, kmeans, landscape, lookup, postings, similarity
 from folioscope.plans import oracles as sql
 from folioscope.plans.prepare import PrepareConfig, prepare, summary
 from folioscope.plans.workspace import Workspace
@@ -382,6 +382,26 @@ def recommend_tfidf(w: Workspace) -> DataFrame:
     return similarity.recommend_many(w.papers, w.tfidf, w.queries())
 
 
+@query("recommend_indexed", f"SELECT r.query_id, r.rank, r.id, {_META} FROM ranked_tfidf r JOIN papers p ON p.id = r.id")
+def recommend_indexed(w: Workspace) -> DataFrame:
+    """The same lists through the inverted index."""
+    ranked = postings.topk_indexed(w.tfidf_index, w.queries(), TOP)
+    return similarity.with_metadata(ranked, w.papers, settings.EVAL_QUERIES * TOP)
+
+
+@query("index_reads")
+def index_reads(w: Workspace) -> DataFrame:
+    """What the index reads for each query: terms left out, rows scored in full, and the rows a scan would score."""
+    root = tables.scratch_path(w.spark, "index-reads")
+    postings.topk_indexed(w.tfidf_index, w.queries(), TOP, root=root)
+    terms = w.spark.read.parquet(f"{root}/terms").groupBy("query_id").agg(
+        F.count("*").alias("terms"), F.count_if("idle").alias("idle_terms"), r6(F.max("floor"), "floor")
+    )
+    scored = w.spark.read.parquet(f"{root}/scored").groupBy("query_id").agg(F.count("*").alias("scored_rows"))
+    rows = w.tfidf.agg(F.count("*").alias("n")).scalar()
+    return terms.join(scored, "query_id").select("*", rows.alias("corpus_rows"))
+
+
 @query("recommend_hashed", f"SELECT r.query_id, r.rank, r.id, {_META} FROM ranked_hashed r JOIN papers p ON p.id = r.id")
 def recommend_hashed(w: Workspace) -> DataFrame:
     return similarity.recommend_many(w.papers, w.hashed, w.queries())

@@ -8,11 +8,11 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from folioscope.operators import cleaning, evaluation, features, similarity
+from folioscope.operators import cleaning, evaluation, features, postings, similarity
 from folioscope.session import ship_package
 from folioscope.settings import EVAL_QUERIES, SWEEP_KS, SWEEP_QUERIES
 from folioscope.sources.papers import papers_from_documents, spread, vectors_from_embeddings
-from folioscope.sources.tables import materialize, scratch_path
+from folioscope.sources.tables import exists, materialize, scratch_path
 
 
 class Workspace:
@@ -85,6 +85,12 @@ class Workspace:
     def tfidf(self) -> DataFrame:
         return self.stage("tfidf", lambda: self.model.transform(self.clean))
 
+    @cached_property
+    def tfidf_index(self) -> postings.SparseIndex:
+        if not exists(self.spark, f"{self.root}/index/terms"):
+            postings.build_index(self.tfidf, f"{self.root}/index")
+        return postings.read_index(self.spark, f"{self.root}/index", self.tfidf)
+
     @cached_property
     def hashed(self) -> DataFrame:
         return self.stage("hashed", lambda: features.hash_embed(self.clean))
