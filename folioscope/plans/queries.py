@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from folioscope import settings
 from folioscope.functions import text as tx
-from folioscope.operators import cleaning, clustering, evaluation, features, keywords, kmeans, landscape, lookup, postings, similarity
+from folioscope.operators import cleaning, clustering, evaluation, features, keywords, kmeans, landscape, lookup, pivots, postings, similarity
 from folioscope.plans import oracles as sql
 from folioscope.plans.prepare import PrepareConfig, prepare, summary
 from folioscope.plans.workspace import Workspace
@@ -423,6 +423,16 @@ def all_vector_neighbours(w: Workspace) -> DataFrame:
     return similarity.topk(w.vectors, every, 5).select("query_id", "rank", "id", r6("score"))
 
 
+@query(
+    "neighbours_by_pivots",
+    f"SELECT query_id, rank, id, round(score, 6) AS score FROM ({sql.ranked('vectors', 'vectors_unit', 'all_vectors', 5)})",
+)
+def neighbours_by_pivots(w: Workspace) -> DataFrame:
+    """The same lists, each vector being sent only to blocks around pivots that it can reach; blocks of 64 rows."""
+    found = pivots.neighbours(w.vectors, 5, settings.Limits(block_entries=64 * 64))
+    return found.select("query_id", "rank", "id", r6("score"))
+
+
 @query(
     "answer_requests",
     f"""SELECT q.request_id, q.paper_id, q.top_k, CASE WHEN p0.id IS NULL THEN 'error' ELSE 'ok' END AS status,
