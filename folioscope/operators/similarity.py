@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from folioscope.functions import text as tx
 from folioscope.operators.blocks import SALTS, STEP, Rows, Scorer, distinct_columns, entries, vector_columns
 from folioscope.operators.carry import carrier
+from folioscope.operators.lookup import last_wins
 from folioscope.schemas import PAPER_FIELDS
 from folioscope.settings import LIMITS, PREVIEW_CHARS, TOP_K, Limits
 
@@ -80,11 +81,10 @@ def _score_all(best: _Best, tables: Iterator[pa.RecordBatch | pa.Table]) -> pa.T
 
 
 def _query_rows(queries: DataFrame, features: DataFrame, limits: Limits) -> DataFrame:
-    """Feature rows of the queried ids; unknown ids drop out, repeated ids count once."""
+    """Feature rows of the queried ids; unknown ids drop out, repeated ids count once, of rows with one id the last."""
     wanted = queries.select(F.col("query_id").alias("id")).distinct()
-    return features.join(carrier(queries, limits)(wanted), "id", "left_semi").select(
-        "id", "seq", *vector_columns(features)
-    )
+    asked = features.join(carrier(queries, limits)(wanted), "id", "left_semi")
+    return last_wins(asked.select("id", "seq", *vector_columns(features)))
 
 
 def _by_broadcast(features: DataFrame, query_table: pa.Table, k: int) -> DataFrame:

@@ -19,7 +19,7 @@ from folioscope.plans.prepare import PrepareConfig, prepare, summary
 from folioscope.plans.workspace import Workspace
 from folioscope.schemas import PAPER_FIELDS, SEQUENCED_PAPER
 from folioscope.sources import tables
-from folioscope.sources.papers import head, parse_paper_lines
+from folioscope.sources.papers import head, load_ordered_papers, load_papers, numbered, parse_paper_lines
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -71,6 +71,33 @@ def jsonl_paper_scan(w: Workspace) -> DataFrame:
     return parse_paper_lines(lines)
 
 
+def written_lines(w: Workspace) -> str:
+    """All documents as JSON lines, in their order over files of very different size (one folder per binary magnitude)."""
+    record = F.struct("id", "title", "abstract", F.when(F.col("categories").startswith("de "), F.lit(None)).otherwise(F.col("categories")).alias("categories"))
+    rows = w.papers.select(F.to_json(record).alias("value"), "seq", F.lpad(F.length(F.bin("seq")).cast("string"), 2, "0").alias("size"))
+    path = tables.scratch_path(w.spark, "json-lines")
+    rows.repartitionByRange(5, "seq").sortWithinPartitions("seq").drop("seq").write.partitionBy("size").text(path)
+    return path
+
+
+_LINES = f"""
+    SELECT id, replace({sql.strip("title")}, chr(10), ' ') AS title, replace({sql.strip("abstract")}, chr(10), ' ') AS abstract,
+           CASE WHEN categories LIKE 'de %' THEN '' ELSE categories END AS categories, '' AS authors,
+           row_number() OVER (ORDER BY seq) - 1 AS place FROM papers"""
+
+
+@query("papers_from_files", _LINES)
+def papers_from_files(w: Workspace) -> DataFrame:
+    """JSON-lines files of unequal size, loaded with their order."""
+    return numbered(load_papers(w.spark, written_lines(w)), "seq").drop("seq")
+
+
+@query("papers_in_order", _LINES)
+def papers_in_order(w: Workspace) -> DataFrame:
+    """The same files through the data source of ordered lines, in small splits."""
+    return numbered(load_ordered_papers(w.spark, written_lines(w), 64 << 10), "seq").drop("seq")
+
+
 HEAD_ROWS = 333
 
 
@@ -423,6 +450,27 @@ def all_vector_neighbours(w: Workspace) -> DataFrame:
     return similarity.topk(w.vectors, every, 5).select("query_id", "rank", "id", r6("score"))
 
 
+_PAIRED = sql.unit("(SELECT vec_id AS id, generate_subscripts(embedding, 1) AS term, CAST(unnest(embedding) AS DOUBLE) AS v FROM embeddings)")
+
+
+@query(
+    "recommend_repeated_ids",
+    f"""WITH rows AS (SELECT CAST(vec_id // 2 AS VARCHAR) AS id, vec_id AS seq FROM embeddings),
+        u AS MATERIALIZED ({_PAIRED}),
+        asked AS (SELECT id, max(seq) AS seq FROM rows GROUP BY id),
+        scores AS (SELECT q.id AS query_id, r.id, r.seq, (SELECT sum(a.w * b.w) FROM u a JOIN u b ON a.term = b.term
+                          WHERE a.id = q.seq AND b.id = r.seq) AS score FROM asked q JOIN rows r ON r.id <> q.id)
+        SELECT query_id, rank, id, seq, round(score, 6) AS score FROM (
+            SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY round(score, 6) DESC, seq) AS INTEGER) AS rank FROM scores)
+        WHERE rank <= 5""",
+)
+def recommend_repeated_ids(w: Workspace) -> DataFrame:
+    """Two vectors per id: the last one asks, both can be found by others."""
+    pairs = w.vectors.withColumn("id", F.expr("cast(seq div 2 AS string)"))
+    found = similarity.topk(pairs, pairs.select(F.col("id").alias("query_id")), 5)
+    return found.select("query_id", "rank", "id", "seq", r6("score"))
+
+
 @query(
     "neighbours_by_pivots",
     f"SELECT query_id, rank, id, round(score, 6) AS score FROM ({sql.ranked('vectors', 'vectors_unit', 'all_vectors', 5)})",
