@@ -128,9 +128,24 @@ def fit_tfidf(
             F.explode(F.unwrap_udt("_tf")["indices"]).alias("term_idx")
         )
         df_of.update({r.term_idx: r["count"] for r in present.groupBy("term_idx").count().collect()})
-    idf = [float(np.log((1 + n_docs) / (1 + df_of[i])) + 1) for i in range(len(terms))]
-    rows = [(t, ctf[t], df_of[i], idf[i], i) for i, t in enumerate(terms)]
-    return TfidfModel(spark.createDataFrame(rows, VOCABULARY), terms, idf, tuple(stop_words), ngram_max)
+    counted = [(t, ctf[t], df_of[i]) for i, t in enumerate(terms)]
+    return _model(spark, counted, n_docs, stop_words, ngram_max)
+
+
+def _model(spark: SparkSession, counted: list[tuple[str, int, int]], n_docs: int, stop_words: Sequence[str], ngram_max: int) -> TfidfModel:
+    """The model of chosen terms ``(term, ctf, df)`` in their order."""
+    idf = [float(np.log((1 + n_docs) / (1 + df)) + 1) for _, _, df in counted]
+    rows = [(t, ctf, df, w, i) for i, ((t, ctf, df), w) in enumerate(zip(counted, idf))]
+    return TfidfModel(spark.createDataFrame(rows, VOCABULARY), [t for t, _, _ in counted], idf, tuple(stop_words), ngram_max)
+
+
+def model_of_counts(
+    counts: DataFrame, n_docs: int, max_terms: int = MAX_TERMS, stop_words: Sequence[str] = VECTOR_STOP_WORDS, ngram_max: int = 2
+) -> TfidfModel:
+    """The model that ``fit_tfidf`` gives, from the counts ``(term, ctf, df)`` of all terms of ``n_docs`` texts."""
+    chosen = counts.orderBy(F.desc("ctf"), "term").limit(max_terms).collect()
+    counted = sorted(((r.term, r.ctf, r.df) for r in chosen), key=lambda r: r[0].encode())
+    return _model(counts.sparkSession, counted, n_docs, stop_words, ngram_max)
 
 
 def write_model(model: TfidfModel, path: str) -> None:

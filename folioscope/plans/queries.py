@@ -16,6 +16,7 @@ from folioscope.functions import text as tx
 from folioscope.operators import cleaning, clustering, evaluation, features, keywords, kmeans, landscape, lookup, pivots, postings, similarity
 from folioscope.plans import oracles as sql
 from folioscope.plans.prepare import PrepareConfig, prepare, summary
+from folioscope.plans.refresh import Corpus, refresh
 from folioscope.plans.workspace import Workspace
 from folioscope.schemas import PAPER_FIELDS, SEQUENCED_PAPER
 from folioscope.sources import tables
@@ -71,12 +72,12 @@ def jsonl_paper_scan(w: Workspace) -> DataFrame:
     return parse_paper_lines(lines)
 
 
-def written_lines(w: Workspace) -> str:
-    """All documents as JSON lines, in their order over files of very different size (one folder per binary magnitude)."""
+def written_lines(w: Workspace, path: str | None = None, where: str = "true") -> str:
+    """Documents as JSON lines, in their order over files of very different size (one folder per binary magnitude)."""
     record = F.struct("id", "title", "abstract", F.when(F.col("categories").startswith("de "), F.lit(None)).otherwise(F.col("categories")).alias("categories"))
     rows = w.papers.select(F.to_json(record).alias("value"), "seq", F.lpad(F.length(F.bin("seq")).cast("string"), 2, "0").alias("size"))
-    path = tables.scratch_path(w.spark, "json-lines")
-    rows.repartitionByRange(5, "seq").sortWithinPartitions("seq").drop("seq").write.partitionBy("size").text(path)
+    path = path or tables.scratch_path(w.spark, "json-lines")
+    rows.where(where).repartitionByRange(5, "seq").sortWithinPartitions("seq").drop("seq").write.partitionBy("size").mode("append").text(path)
     return path
 
 
@@ -98,6 +99,28 @@ def papers_in_order(w: Workspace) -> DataFrame:
     return numbered(load_ordered_papers(w.spark, written_lines(w), 64 << 10), "seq").drop("seq")
 
 
+def refreshed(w: Workspace) -> Corpus:
+    """The corpus after two runs: files of even magnitude first, then all."""
+    source, out = tables.scratch_path(w.spark, "growing"), tables.scratch_path(w.spark, "refreshed")
+    for where in ("size % 2 = 0", "size % 2 = 1"):
+        written_lines(w, source, where)
+        corpus = refresh(w.spark, source, out)
+    return corpus
+
+
+@query("refreshed_clean", "SELECT id, final_text, row_number() OVER (ORDER BY seq) - 1 AS seq FROM clean")
+def refreshed_clean(w: Workspace) -> DataFrame:
+    """Clean texts of a corpus that grew between two runs, only new and affected rows having been cleaned again."""
+    corpus = refreshed(w)
+    return corpus.in_order(corpus.clean).select("id", "final_text", "seq")
+
+
+@query("refreshed_vocabulary", "SELECT term, ctf, df, round(idf, 6) AS idf, term_idx FROM vocab")
+def refreshed_vocabulary(w: Workspace) -> DataFrame:
+    """The vocabulary of the same corpus, from summed counts."""
+    return refreshed(w).model().vocab.select("term", "ctf", "df", r6("idf"), "term_idx")
+
+
 HEAD_ROWS = 333
 
 
@@ -789,6 +812,16 @@ def prepare_corpus(w: Workspace) -> DataFrame:
     return prepare(w.spark, w.papers.select(*PAPER_FIELDS, "seq"), tables.scratch_path(w.spark, "prepared"), config)
 
 
+@query("prepare_default")
+def prepare_default(w: Workspace) -> DataFrame:
+    """The preparation job with its own defaults: the number of clusters is the one that the sweep finds best."""
+    out = tables.scratch_path(w.spark, "prepared-default")
+    row = prepare(w.spark, w.papers.select(*PAPER_FIELDS, "seq"), out)
+    sweep = w.spark.read.parquet(f"{out}/k_sweep")
+    chosen = sweep.agg(F.max_by("k", F.struct("silhouette", -F.col("k")))).scalar()
+    return row.select("*", chosen.alias("best_k"), sweep.agg(F.count("*")).scalar().alias("swept"))
+
+
 @query(
     "corpus_summary",
     """SELECT count(*) AS papers, (SELECT count(*) FROM clean) AS tfidf_rows, (SELECT count(*) FROM vocab) AS tfidf_terms,

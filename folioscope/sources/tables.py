@@ -7,6 +7,7 @@ import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
@@ -57,6 +58,14 @@ def materialize(spark: SparkSession, path: str, build: Callable[[], DataFrame])
     return spark.read.parquet(path)
 
 
+def digest_of_rows(df: DataFrame) -> str:
+    """Number of rows and a digest of their contents, whatever their order; one pass, nothing is shuffled."""
+    row = F.struct(*df.columns)
+    sums = [F.sum(F.xxhash64(F.lit(salt), row).cast("decimal(38,0)")) for salt in (1, 2)]
+    n, *parts = df.agg(F.count("*"), *sums).first()
+    return "-".join(str(p) for p in (n, *parts))
+
+
 def write_csv(df: DataFrame, path: str) -> None:
     """CSV snapshot with header; everything quoted, so that newlines and empty strings survive."""
     (

@@ -1,0 +1,101 @@
+"""A corpus that grows, changes and shrinks against a first run over the same files."""
+
+from __future__ import annotations
+
+import json
+import os
+from pathlib import Path
+
+import pytest
+
+from folioscope.plans.prepare import PrepareConfig, prepare
+from folioscope.plans.refresh import Refresh, refresh
+from folioscope.settings import Limits
+
+
+def put(path: Path, rows):
+    path.write_text("".join(json.dumps({"id": i, "title": t, "abstract": a, "categories": "x"}) + "\n" for i, t, a in rows))
+
+
+def tables(corpus):
+    clean = [(r.seq, r.id, r.final_text) for r in corpus.in_order(corpus.clean).collect()]
+    papers = [(r.seq, r.id, r.title, r.abstract) for r in corpus.in_order(corpus.papers).collect()]
+    vocab = [tuple(r) for r in corpus.model(50).vocab.collect()]
+    return sorted(clean), sorted(papers), sorted(vocab), sorted((r.form, r.lemma) for r in corpus.lemmas.collect())
+
+
+@pytest.mark.parametrize("limits", [Limits(), Limits(broadcast_rows=1)])
+def test_runs_equal_a_first_run(spark, tmp_path, limits):
+    source, out = tmp_path / "raw", str(tmp_path / "out")
+    source.mkdir()
+    steps = 0
+
+    def equal():
+        nonlocal steps
+        steps += 1
+        got = tables(refresh(spark, str(source), out, limits=limits))
+        assert got == tables(refresh(spark, str(source), str(tmp_path / f"whole{steps}"), limits=limits))
+        return got
+
+    put(source / "b.jsonl", [("1", "Galaxies", "many galaxies and stars"), ("2", "Classes", "of wolves")])
+    put(source / "c.jsonl", [("3", "Proteins", "fold fold fold")])
+    first = equal()
+    assert [c[2] for c in first[0]] == ["galaxies many galaxies stars", "classes wolves", "proteins fold fold fold"]
+    # a new file brings base forms: words of old rows get lemmas, other rows stay as they are
+    put(source / "a.jsonl", [("4", "galaxy", "wolf and star")])
+    second = equal()
+    assert [c[2] for c in second[0]] == ["galaxy wolf star", "galaxy many galaxy star", "classes wolf", "proteins fold fold fold"]
+    state = Refresh(spark, out, limits)
+    assert {r.id for r in spark.read.parquet(state.path("papers", 2)).collect()} == {"4"}
+    assert {r.id for r in spark.read.parquet(state.path("clean", 2)).collect()} == {"1", "2", "4"}
+    # a changed file, then one that goes
+    put(source / "a.jsonl", [("4", "galaxy", "and nothing else"), ("5", "protein", "")])
+    equal()
+    (source / "a.jsonl").unlink()
+    assert equal() == first
+    assert state.runs() == 4
+    equal()
+    assert state.runs() == 4
+
+
+def test_old_files_are_not_read_again(spark, tmp_path):
+    source, out = tmp_path / "raw", str(tmp_path / "out")
+    source.mkdir()
+    put(source / "a.jsonl", [("1", "Stars", "bright stars")])
+    refresh(spark, str(source), out)
+    stat = (source / "a.jsonl").stat()
+    (source / "a.jsonl").write_bytes(b"#" * stat.st_size)
+    os.utime(source / "a.jsonl", ns=(stat.st_atime_ns, stat.st_mtime_ns))
+    put(source / "b.jsonl", [("2", "Star", "one star")])
+    corpus = refresh(spark, str(source), out)
+    assert sorted(r.final_text for r in corpus.clean.collect()) == ["star bright star", "star one star"]
+
+
+def test_a_run_cut_off_is_made_again(spark, tmp_path):
+    source, out = tmp_path / "raw", str(tmp_path / "out")
+    source.mkdir()
+    put(source / "a.jsonl", [("1", "Stars", "bright stars")])
+    refresh(spark, str(source), out)
+    put(source / "b.jsonl", [("2", "Star", "one star")])
+    wanted = tables(refresh(spark, str(source), out))
+    os.remove(f"{Refresh(spark, out).path('files', 2)}/_SUCCESS")
+    assert tables(refresh(spark, str(source), out)) == wanted
+
+
+def test_other_settings_and_sources_are_refused(spark, tmp_path):
+    source, out = tmp_path / "raw", str(tmp_path / "out")
+    source.mkdir()
+    put(source / "a.jsonl", [(str(i), "Stars" if i % 2 else "Wolves run", f"bright stars {i}") for i in range(12)])
+    refresh(spark, str(source), out)
+    with pytest.raises(ValueError, match="other settings"):
+        refresh(spark, str(source), out, lexicon=spark.createDataFrame([("star",)], "form string"))
+
+    config = PrepareConfig(eval_queries=4, top_k=2, svd_components=2, k_min=2, k_max=3, restarts=1)
+    ready = str(tmp_path / "prepared")
+    row = prepare(spark, str(source), ready, config).first()
+    assert prepare(spark, str(source), ready, config).first() == row
+    with pytest.raises(ValueError, match="other settings"):
+        prepare(spark, str(source), ready, config, lexicon=spark.createDataFrame([("star",)], "form string"))
+    put(source / "b.jsonl", [("99", "More", "stars")])
+    with pytest.raises(ValueError, match="other settings"):
+        prepare(spark, str(source), ready, config)
