@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from folioscope import settings
 from folioscope.functions import text as tx
-from folioscope.operators import cleaning, clustering, evaluation, features, keywords, kmeans, landscape, lookup, pivots, postings, similarity
+from folioscope.operators import cleaning, clustering, evaluation, features, keywords, kmeans, landscape, lookup, pivots, postings, similarity, trigrams
 from folioscope.plans import oracles as sql
 from folioscope.plans.prepare import PrepareConfig, prepare, summary
 from folioscope.plans.refresh import Corpus, refresh
@@ -234,6 +234,37 @@ def pattern_search(w: Workspace) -> DataFrame:
     return lookup.search(w.papers, "the [a-z]{3}[.,]", top_k=50, regex=True)
 
 
+@query("keyword_search_indexed", _search_oracle("contains(lower(title), 'tion ha') OR contains(lower(abstract), 'tion ha')"))
+def keyword_search_indexed(w: Workspace) -> DataFrame:
+    """The same search through the trigram index."""
+    return trigrams.search_indexed(w.trigram_index, " TION ha ", top_k=50)
+
+
+@query(
+    "pattern_search_indexed",
+    _search_oracle(
+        "regexp_matches(lower(title), 'th(is|at) (shre|[a-z]+ble)[.,]') OR regexp_matches(lower(abstract), 'th(is|at) (shre|[a-z]+ble)[.,]')"
+    ),
+)
+def pattern_search_indexed(w: Workspace) -> DataFrame:
+    """A pattern with alternatives: its certain trigrams find the rows that are read."""
+    return trigrams.search_indexed(w.trigram_index, "th(is|at) (shre|[a-z]+ble)[.,]", top_k=50, regex=True)
+
+
+@query("search_reads")
+def search_reads(w: Workspace) -> DataFrame:
+    """Rows that indexed searches read, and the rows of the corpus."""
+    counts = []
+    for text, regex in ((" TION ha ", False), ("the [a-z]{3}[.,]", True), ("th(is|at) (shre|[a-z]+ble)[.,]", True), ("ontheiting", False)):
+        root = tables.scratch_path(w.spark, "search-reads")
+        trigrams.search_indexed(w.trigram_index, text, 50, regex, root=root)
+        counts.append(w.spark.read.parquet(f"{root}/candidates").agg(F.lit(text).alias("query"), F.count("*").alias("rows_read")))
+    whole = counts[0]
+    for more in counts[1:]:
+        whole = whole.unionByName(more)
+    return whole.select("*", w.papers.agg(F.count("*")).scalar().alias("corpus_rows"))
+
+
 @query("abstract_preview", f"SELECT id, {sql.preview('abstract')} AS preview FROM papers")
 def abstract_preview(w: Workspace) -> DataFrame:
     return w.papers.select("id", tx.ellipsize("abstract", settings.PREVIEW_CHARS).alias("preview"))

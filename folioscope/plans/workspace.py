@@ -8,7 +8,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from folioscope.operators import cleaning, evaluation, features, postings, similarity
+from folioscope.operators import cleaning, evaluation, features, postings, similarity, trigrams
 from folioscope.session import ship_package
 from folioscope.settings import EVAL_QUERIES, SWEEP_KS, SWEEP_QUERIES
 from folioscope.sources.papers import papers_from_documents, spread, vectors_from_embeddings
@@ -91,6 +91,12 @@ class Workspace:
             postings.build_index(self.tfidf, f"{self.root}/index")
         return postings.read_index(self.spark, f"{self.root}/index", self.tfidf)
 
+    @cached_property
+    def trigram_index(self) -> trigrams.TrigramIndex:
+        if not exists(self.spark, f"{self.root}/trigrams/postings"):
+            trigrams.build_index(self.spread_papers, f"{self.root}/trigrams")
+        return trigrams.read_index(self.spark, f"{self.root}/trigrams", self.papers)
+
     @cached_property
     def hashed(self) -> DataFrame:
         return self.stage("hashed", lambda: features.hash_embed(self.clean))
