@@ -21,13 +21,17 @@ from pyspark.sql import functions as F
 from folioscope.llm.common import ready
 
 WORD = re.compile(r"[^\W_]+")
+# Letters of scripts written without blanks (Thai to Lao, Burmese, Khmer, Kana, Han).
+UNSPACED = "\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u9fff\uf900-\ufaff\U00020000-\U0003ffff"
+HAS_UNSPACED = re.compile(f"[{UNSPACED}]")
+MIXED = re.compile(rf"(?=[{UNSPACED}])[^\W_]|(?:(?![{UNSPACED}])[^\W_])+")
 MULTIPLIER = 0x9E3779B97F4A7C15
 
 
 @dataclass(frozen=True)
 class TilingParams:
     """Tiles have ``tile`` words at least; an item counts as found when ``coverage`` of its words lie under tiles.
-    Items are broadcast in blocks of about ``block_words`` words."""
+    An item of fewer words is one tile of its own length. Items are broadcast in blocks of about ``block_words`` words."""
 
     tile: int = 5
     coverage: float = 0.8
@@ -35,7 +39,9 @@ class TilingParams:
 
 
 def words_of(text: str | None) -> list[str]:
-    return WORD.findall((text or "").lower())
+    """Lower-case runs of letters and digits; of scripts without blanks every letter is a word."""
+    lower = (text or "").lower()
+    return (MIXED if not lower.isascii() and HAS_UNSPACED.search(lower) else WORD).findall(lower)
 
 
 def rolling(ids: np.ndarray, length: int) -> np.ndarray:
@@ -104,17 +110,71 @@ def greedy_tiles(item: np.ndarray, text: np.ndarray, minimum: int) -> list[tuple
         length = max(minimum, length // 2)
 
 
+def without_spare_copies(text: np.ndarray, n: int, tile: int) -> np.ndarray:
+    """``text`` without stretches that no tiling with an item of ``n`` words can use; -1 stands where some were.
+
+    At most ``n // tile`` tiles are laid, each of at most ``n`` words. Places whose surroundings are equal over ``n`` words on
+    both sides offer the same matches, and one tile touches only one of two such places that are ``2 n`` apart. So of each
+    kind the first places at that distance, one more than there can be tiles, are enough: one of them is always free, and comes
+    before those left out.
+    """
+    enough, span = n // tile + 1, 2 * n + 1
+    if len(text) <= 2 * enough * span:
+        return text
+    padded = np.concatenate((np.full(n, -1), text, np.full(n, -1))).astype(np.int64).astype(np.uint64) + np.uint64(2)
+    powers = np.cumprod(np.full(len(padded), MULTIPLIER, dtype=np.uint64))
+    sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(padded * powers)))
+    backwards = np.cumprod(np.full(len(text), pow(MULTIPLIER, -1, 1 << 64), dtype=np.uint64))
+    kinds = (sums[span:] - sums[:-span]) * backwards
+    order = np.argsort(kinds, kind="stable")
+    heads = np.flatnonzero(np.concatenate(([True], kinds[order][1:] != kinds[order][:-1])))
+    tails = np.append(heads[1:], len(order))
+    kept = np.ones(len(text), dtype=bool)
+    for head, tail in zip(heads, tails):
+        if tail - head <= enough:
+            continue
+        places = order[head:tail]
+        kept[places] = False
+        at = 0
+        for _ in range(enough):
+            if at == len(places):
+                break
+            kept[places[at]] = True
+            at = int(np.searchsorted(places, places[at] + 2 * n))
+    # with the surroundings of what is kept
+    change = np.zeros(len(text) + 1, dtype=np.int64)
+    anchors = np.flatnonzero(kept)
+    np.add.at(change, np.maximum(anchors - n, 0), 1)
+    np.add.at(change, np.minimum(anchors + n + 1, len(text)), -1)
+    inside = np.cumsum(change[:-1]) > 0
+    return _with_gaps(text, np.flatnonzero(inside))
+
+
+def _with_gaps(ids: np.ndarray, places: np.ndarray) -> np.ndarray:
+    """The ids at some places in order, with -1 between places that are not neighbours."""
+    return np.insert(ids[places], np.flatnonzero(np.diff(places) > 1) + 1, -1)
+
+
 class ItemBlock:
-    """A block of benchmark items, ready to be compared with texts."""
+    """A block of benchmark items, ready to be compared with texts. Items of equal words are compared once."""
 
     def __init__(self, rows: list[Row], params: TilingParams):
         self.params = params
-        self.keys, self.ids, self.vocabulary = [], [], {}
+        self.keys, self.vocabulary = [], {}
+        numbers: dict[tuple[int, ...], list[int]] = {}
         for row in rows:
-            words = words_of(row["text"])
-            if len(words) >= params.tile:
+            ids = tuple(self.vocabulary.setdefault(w, len(self.vocabulary)) for w in words_of(row["text"]))
+            if ids:
+                numbers.setdefault(ids, []).append(len(self.keys))
                 self.keys.append(row["item"])
-                self.ids.append(np.array([self.vocabulary.setdefault(w, len(self.vocabulary)) for w in words], dtype=np.int64))
+        whole = {ids: rows for ids, rows in numbers.items() if len(ids) >= params.tile}
+        self.ids, self.rows = [np.array(ids, dtype=np.int64) for ids in whole], list(whole.values())
+        self.sizes = np.array([len(ids) for ids in self.ids], dtype=np.int64)
+        # items shorter than a tile by their length
+        self.short: dict[int, dict[tuple[int, ...], list[int]]] = {}
+        for ids, own in numbers.items():
+            if len(ids) < params.tile:
+                self.short.setdefault(len(ids), {})[ids] = own
         seeds = [rolling(ids, params.tile) for ids in self.ids]
         owner = np.repeat(np.arange(len(seeds)), [len(s) for s in seeds]).astype(np.int64)
         place = np.concatenate([np.arange(len(s)) for s in seeds]) if seeds else np.zeros(0, dtype=np.int64)
@@ -126,13 +186,31 @@ class ItemBlock:
 
     def found(self, text: str | None) -> Iterator[tuple[int, int, int, int]]:
         """(item number, words of the item, words under tiles, tiles) of the items found in a whole text."""
-        tile = self.params.tile
         known = self.vocabulary.get
         ids = np.array([known(w, -1) for w in words_of(text)], dtype=np.int64)
-        if len(ids) < tile or not len(self.seeds):
+        if (ids < 0).all():
             return
-        inside = np.flatnonzero(np.convolve(ids < 0, np.ones(tile, dtype=np.int64), "valid") == 0)
-        if not len(inside):
+        yield from self._short_items(ids)
+        yield from self._whole_items(ids)
+
+    def _runs(self, ids: np.ndarray, length: int) -> np.ndarray:
+        """Starts of runs of known words."""
+        if len(ids) < length:
+            return np.zeros(0, dtype=np.int64)
+        return np.flatnonzero(np.convolve(ids < 0, np.ones(length, dtype=np.int64), "valid") == 0)
+
+    def _short_items(self, ids: np.ndarray) -> Iterator[tuple[int, int, int, int]]:
+        for length, items in self.short.items():
+            starts = self._runs(ids, length)
+            runs = np.unique(ids[starts[:, None] + np.arange(length)], axis=0) if len(starts) else np.zeros((0, length), dtype=np.int64)
+            for run in map(tuple, runs.tolist()):
+                for k in items.get(run, ()):
+                    yield k, length, length, 1
+
+    def _whole_items(self, ids: np.ndarray) -> Iterator[tuple[int, int, int, int]]:
+        tile, coverage = self.params.tile, self.params.coverage
+        inside = self._runs(ids, tile)
+        if not len(inside) or not len(self.seeds):
             return
         hashes = rolling(ids, tile)[inside]
         at = np.minimum(np.searchsorted(self.seeds, hashes), len(self.seeds) - 1)
@@ -140,25 +218,31 @@ class ItemBlock:
         at, inside = at[hit], inside[hit]
         if not len(at):
             return
-        counts = self.last[at] - self.first[at]
-        posting = np.repeat(self.first[at] - np.concatenate(([0], np.cumsum(counts)[:-1])), counts) + np.arange(counts.sum())
-        where, owner, place = np.repeat(inside, counts), self.owner[posting], self.place[posting]
-        for k in np.unique(owner).tolist():
-            item, mine = self.ids[k], owner == k
-            reach = np.zeros(len(item), dtype=bool)
-            in_text = np.zeros(len(ids), dtype=bool)
-            for step in range(tile):
-                reach[place[mine] + step] = True
-                in_text[where[mine] + step] = True
-            # tiles lie within seeds, so the seeds bound what tiles can cover
-            if reach.sum() < self.params.coverage * len(item):
-                continue
-            keep = np.flatnonzero(in_text)
-            gaps = np.flatnonzero(np.diff(keep) > 1) + 1
-            tiles = greedy_tiles(item, np.insert(ids[keep], gaps, -1), tile)
+        by_seed = np.argsort(at, kind="stable")
+        places, (met, head) = inside[by_seed], np.unique(at[by_seed], return_index=True)
+        tail = np.append(head[1:], len(places))
+        # each seed counts once, however often the text has it: no more than the block's own places
+        counts = self.last[met] - self.first[met]
+        posting = np.repeat(self.first[met] - np.concatenate(([0], np.cumsum(counts)[:-1])), counts) + np.arange(counts.sum())
+        seed = np.repeat(np.arange(len(met)), counts)
+        by_item = np.lexsort((self.place[posting], self.owner[posting]))
+        owner, place, seed = self.owner[posting][by_item], self.place[posting][by_item], seed[by_item]
+        # tiles lie within seeds, so what the seeds cover bounds what tiles can cover
+        step = np.full(len(owner), tile)
+        same = owner[1:] == owner[:-1]
+        step[:-1][same] = np.minimum(np.diff(place), tile)[same]
+        reach = np.bincount(owner, step, minlength=len(self.sizes))
+        able = np.flatnonzero((reach > 0) & (reach >= coverage * self.sizes))
+        begin, end = np.searchsorted(owner, able), np.searchsorted(owner, able, side="right")
+        for k, a, b in zip(able.tolist(), begin, end):
+            item = self.ids[k]
+            starts = np.concatenate([places[head[s] : tail[s]] for s in np.unique(seed[a:b])])
+            part = _with_gaps(ids, np.unique(starts[:, None] + np.arange(tile)))
+            tiles = greedy_tiles(item, without_spare_copies(part, len(item), tile), tile)
             covered = sum(t[2] for t in tiles)
-            if covered >= self.params.coverage * len(item):
-                yield k, len(item), covered, len(tiles)
+            if covered >= coverage * len(item):
+                for number in self.rows[k]:
+                    yield number, len(item), covered, len(tiles)
 
 
 def item_blocks(benchmark: DataFrame, params: TilingParams, key: str, text: str) -> Iterator[ItemBlock]:
@@ -182,8 +266,9 @@ def contaminated_pairs(
 ) -> DataFrame:
     """``key, item, item_words, covered_words, tiles, coverage``: every item found in every whole document.
 
-    Texts are compared as lower-case runs of letters and digits. Null and empty texts contain nothing; items of fewer
-    words than a tile cannot be found. Repeated rows of documents or items give repeated pairs, null keys stay null, and
+    Texts are compared as lower-case runs of letters and digits, letter by letter in scripts without blanks. Null and empty
+    texts contain nothing, and items without a word are in nothing; items of fewer words than a tile have to occur as they
+    are. Repeated rows of documents or items give repeated pairs, null keys stay null, and
     empty tables give no rows. Documents are only scanned: nothing is shuffled and no document meets another.
     """
     spark = docs.sparkSession

@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import random
 import re
+import time
 from collections import Counter, defaultdict
 
 import duckdb
 import numpy as np
 import public_tokenizers
 import pytest
+from pyspark.sql import Row
 from pyspark.sql import functions as F
 
 import corpus_pipeline
@@ -74,6 +77,56 @@ def test_contaminated_pairs(spark):
     assert tiling.drop_contaminated(frame, items.limit(0)).count() == len(docs)
 
 
+def test_pairs_equal_plain_tiling_of_all_pairs(spark):
+    rng = random.Random(9)
+    words = [f"w{i}" for i in range(9)]
+    items = [(i, " ".join(rng.choices(words[: rng.randint(2, 9)], k=rng.randint(0, 12)))) for i in range(40)] + [(40, "?!"), (41, "w1"), (42, "w1")]
+    docs = [(i, " ".join(rng.choices([*words, "other", *(t for _, t in items if t)], k=rng.randint(0, 12)))) for i in range(60)]
+    found = tiling.contaminated_pairs(spark.createDataFrame(docs, DOCS), spark.createDataFrame(items, "item_id long, text string")).collect()
+    wanted = set()
+    for i, item in items:
+        for d, text in docs:
+            known = {w: n for n, w in enumerate(dict.fromkeys(tiling.words_of(item)))}
+            a, b = [known[w] for w in tiling.words_of(item)], [known.get(w, -1) for w in tiling.words_of(text)]
+            covered = sum(t[2] for t in plain_tiles(a, b, min(5, len(a)))) if a else 0
+            if a and covered >= 0.8 * len(a) and (len(a) >= 5 or covered == len(a)):
+                wanted.add((d, i, covered))
+    assert {(r.doc_id, r.item_id, r.covered_words) for r in found} == wanted and len(found) == len(wanted)
+
+
+def test_items_without_blanks_and_short_items_are_found(spark):
+    items = [(1, "東京は日本の首都です"), (2, "42"), (3, "so be it"), (4, "...")]
+    docs = [(1, "前置き。東京は日本の首都です。後書き"), (2, "東京は大きい"), (3, "it is 42, so be it"), (4, "so be"), (5, "421 ... so, BE it")]
+    got = tiling.contaminated_pairs(spark.createDataFrame(docs, DOCS), spark.createDataFrame(items, "item_id long, text string")).collect()
+    assert {(r.doc_id, r.item_id, r.coverage) for r in got} == {(1, 1, 1.0), (3, 2, 1.0), (3, 3, 1.0), (5, 3, 1.0)}
+
+
+def test_spare_copies_do_not_change_the_tiling():
+    rng = random.Random(2)
+    shorter = 0
+    for _ in range(600):
+        kinds, n = rng.randint(1, 4), rng.randint(3, 8)
+        item = np.array([rng.randrange(kinds) for _ in range(n)])
+        base, text = [rng.randrange(-1, kinds) for _ in range(rng.randint(1, 12))], []
+        while len(text) < rng.randint(100, 500):
+            text += base if rng.random() < 0.9 else [rng.randrange(-1, kinds) for _ in range(rng.randint(1, 20))]
+        cut = tiling.without_spare_copies(np.array(text), n, 3)
+        shorter += len(cut) < len(text)
+        assert [(t[0], t[2]) for t in tiling.greedy_tiles(item, cut, 3)] == [(t[0], t[2]) for t in tiling.greedy_tiles(item, np.array(text), 3)]
+    assert shorter > 300
+
+
+def test_a_phrase_of_many_items_repeated_in_a_text():
+    rng = random.Random(3)
+    phrase = "the quick brown fox jumps"
+    rows = [Row(item=i, text=phrase + " " + " ".join(f"w{rng.randrange(50_000)}" for _ in range(30))) for i in range(10_000)]
+    block = tiling.ItemBlock([*rows, Row(item=-1, text=phrase), Row(item=-2, text=f"{phrase} over {phrase} and")], tiling.TilingParams())
+    text = " ".join([f"{phrase} over lazy"] * 100_000)
+    start = time.time()
+    assert {block.keys[k] for k, *_ in block.found(text)} == {-1, -2}
+    assert time.time() - start < 5
+
+
 def test_decontamination_finds_all_whole_items(spark):
     docs, items = table(spark, SMALL, "documents"), table(spark, SMALL, "benchmark")
     padded = lambda t: " " + " ".join(tiling.words_of(t)) + " "
@@ -276,6 +329,20 @@ def test_token_counts_and_cache(spark, tmp_path, name, monkeypatch):
     assert tokens.count_tokens(docs.limit(0), path, cache).count() == 0
 
 
+def test_equal_texts_under_null_keys_are_encoded_once(spark, tmp_path):
+    path, cache = public_tokenizers.path("piece_bpe_32k.model"), f"{tmp_path}/cache"
+    docs = spark.createDataFrame([(None, "same words")] * 50 + [(1, "same words")] * 3, DOCS).repartition(7)
+    assert tokens.count_tokens(docs, path, cache).count() == 53 and spark.read.parquet(cache).count() == 1
+    more = docs.unionByName(spark.createDataFrame([(i, f"text {i % 40}") for i in range(80)], DOCS))
+    assert tokens.count_tokens(more, path, cache).count() == 133 and spark.read.parquet(cache).count() == 41
+
+
+def test_a_second_call_encodes_nothing(spark, monkeypatch):
+    first = sorted(map(tuple, queries.op6_token_counts(spark, SMALL).collect()))
+    monkeypatch.setattr(tokens, "encode_misses", None)
+    assert sorted(map(tuple, queries.op6_token_counts(spark, SMALL).collect())) == first
+
+
 # ---------------------------------------------------------------- quality
 
 
