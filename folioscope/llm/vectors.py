@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
+from math import acos, ceil, log, log2, pi
 
 import numpy as np
 import pyarrow as pa
@@ -19,15 +20,25 @@ PAIR_CHUNK = 100_000
 
 @dataclass(frozen=True)
 class VectorParams:
-    """``bits`` signs per table; at cosine 0.98 two vectors share a table of 16 bits with probability 0.35, and at
-    least one of 16 tables with 0.999. ``block`` rows of a bucket meet ``block`` others in one unit of work."""
+    """Hashing follows from the table: ``bits`` signs a table, one for each doubling of the vectors under one label and
+    ``least_bits`` at least, so that unlike vectors share buckets about as often at every size; and as many ``tables`` as
+    find a pair at the threshold with probability ``recall`` (17 of 16 bits, 27 of 22, 54 of 32 at cosine 0.98). Values given
+    for either stay. ``block`` rows of a bucket meet ``block`` others in one unit of work."""
 
     threshold: float = 0.98
-    tables: int = 16
-    bits: int = 16
+    recall: float = 0.999
+    least_bits: int = 16
+    tables: int | None = None
+    bits: int | None = None
     block: int = 512
     seed: int = 42
 
+    def settled(self, vectors: int) -> VectorParams:
+        """The parameters for labels of at most so many different vectors."""
+        bits = self.bits or min(max(self.least_bits, ceil(log2(max(vectors, 2)))), 62)
+        together = (1 - acos(self.threshold) / pi) ** bits
+        return replace(self, bits=bits, tables=self.tables or ceil(log(1 - self.recall) / log(1 - together)))
+
 
 def planes(width: int, params: VectorParams) -> np.ndarray:
     return np.random.default_rng([params.seed, width]).standard_normal((width, params.tables * params.bits))
@@ -210,7 +221,13 @@ def vector_groups(
     collapsed = alive.groupBy(*digests).agg(
         F.min("key").alias("least"), F.count("*").alias("n"), F.first("label").alias("label"), F.first("embedding").alias("embedding")
     )
-    distinct = stored(collapsed.withColumn("id", F.monotonically_increasing_id()), "vectors")
+    # a power of two brings the largest component near one: no norm leaves the range of doubles, no other bit changes
+    largest = F.array_max(F.transform("embedding", F.abs))
+    scaled = collapsed.withColumn("unit", F.pow(F.lit(2.0), F.floor(F.log2(largest)))).withColumn(
+        "embedding", F.transform("embedding", lambda x: x / F.col("unit"))
+    )
+    distinct = stored(scaled.drop("unit").withColumn("id", F.monotonically_increasing_id()), "vectors")
+    params = params.settled(distinct.groupBy("label").count().agg(F.max("count")).first()[0] or 0)
     signed = stored(sign_vectors(distinct.select("id", "label", "n", "embedding"), params), "signs")
     found = stored(verify(work_units(signed, params), params), "links")
     roots = connected_components(found, "id", "root")

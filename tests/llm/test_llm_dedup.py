@@ -150,6 +150,27 @@ def test_vectors_equal_brute_force(spark):
     assert vectors.vector_groups(frame.limit(0)).count() == 0
 
 
+def test_very_small_and_large_vectors_link(spark):
+    rows = [[1e-200] * 4, [2e-200] * 4, [1e200] * 4, [2e200] * 4, [1.0] * 4, [2.0] * 4, [5e-324] * 4]
+    got = vectors.vector_groups(spark.createDataFrame([(i, v, 1) for i, v in enumerate(rows)], "vec_id long, embedding array<double>, label int")).collect()
+    assert [(r.n_links, r.component_id) for r in got] == [(6, 0)] * 7
+
+
+def test_candidates_grow_with_the_table(spark):
+    """Unlike vectors share buckets about as often at every size: four times the rows meet about four times as often."""
+    met = []
+    for n in (1000, 4000):
+        rows = np.random.default_rng(n).normal(size=(n, 16))
+        params = vectors.VectorParams(least_bits=4).settled(n)
+        frame = spark.createDataFrame([(i, "a", 1, v) for i, v in enumerate(rows.tolist())], "id long, label string, n long, embedding array<double>")
+        signed = stored(vectors.sign_vectors(frame, params), "signs")
+        buckets = signed.select(F.posexplode("signs").alias("tab", "sig")).groupBy("tab", "sig").count()
+        met.append(buckets.agg(F.sum(F.col("count") * (F.col("count") - 1) / 2)).first()[0] / params.tables / n)
+    assert params.bits == 12 and met[1] < 2 * met[0]
+    small, large = vectors.VectorParams().settled(100), vectors.VectorParams().settled(1 << 30)
+    assert (small.bits, small.tables, large.bits) == (16, 17, 30) and 40 < large.tables < 60
+
+
 def test_merged_transforms_equal_brute_force():
     rng = random.Random(2)
     for _ in range(150):
