@@ -28,7 +28,9 @@ def _all_term_counts(papers: DataFrame, clusters: DataFrame, stop_words: Sequenc
     """``(cluster_id, term, n)`` from raw title and abstract, clusters of one document left out."""
     usable = clusters.groupBy("cluster_id").agg(F.count("*").alias("size")).where("size >= 2").select("cluster_id")
     raw = F.concat_ws(" ", F.coalesce("title", F.lit("")), F.coalesce("abstract", F.lit("")))
-    found = papers.join(clusters, "id").select("cluster_id", F.explode(tx.tokens(raw, stop_words)).alias("term"))
+    # labels within the bound travel to the texts; beyond it only the counted words do, not the texts
+    words = papers.select("id", tx.tokens(raw, stop_words).alias("words"))
+    found = words.join(carrier(clusters)(clusters), "id").select("cluster_id", F.explode("words").alias("term"))
     counts = found.groupBy("cluster_id", "term").agg(F.count("*").alias("n"))
     # one row per cluster on the right side, after the texts have been reduced to counts
     return counts.join(carrier(usable)(usable), "cluster_id", "left_semi")

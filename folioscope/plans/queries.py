@@ -827,6 +827,81 @@ def kmeans_labels(w: Workspace) -> DataFrame:
     return kmeans.kmeans(reduced(w), CLUSTERS)[0].select("id", "cluster_id")
 
 
+def full_svd(w: Workspace):
+    """All 64 components of the vectors: nothing of the rows is lost."""
+    return clustering.truncated_svd(w.vectors, 64, 64)
+
+
+@query(
+    "svd_inner_products",
+    """WITH v AS (SELECT vec_id, generate_subscripts(embedding, 1) AS d, CAST(unnest(embedding) AS DOUBLE) AS x FROM embeddings)
+       SELECT CAST(a.vec_id AS VARCHAR) AS id, round(sum(a.x * a.x), 6) + 0.0 AS norm2, round(sum(a.x * b.x), 6) + 0.0 AS dot
+       FROM v a JOIN v b ON b.vec_id = 7 AND a.d = b.d GROUP BY a.vec_id""",
+)
+def svd_inner_products(w: Workspace) -> DataFrame:
+    """Squared lengths of the reduced rows, and their products with one of them: those of the vectors themselves."""
+    rows, _, _ = full_svd(w)
+    rows = rows.withColumn("one", rows.where("id = '7'").select("embedding").scalar())
+
+    def dot(a: Column, b: Column) -> Column:
+        return F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0.0), lambda t, x: t + x)
+
+    own = F.col("embedding")
+    return rows.select("id", (F.round(dot(own, own), 6) + 0.0).alias("norm2"), (F.round(dot(own, F.col("one")), 6) + 0.0).alias("dot"))
+
+
+@query(
+    "svd_moments",
+    """WITH v AS (SELECT vec_id, generate_subscripts(embedding, 1) AS d, CAST(unnest(embedding) AS DOUBLE) AS x FROM embeddings),
+       g AS (SELECT a.d AS i, b.d AS j, sum(a.x * b.x) AS s FROM v a JOIN v b ON a.vec_id = b.vec_id GROUP BY a.d, b.d)
+       SELECT CAST(max(i) AS BIGINT) AS components, round(sum(CASE WHEN i = j THEN s ELSE 0 END), 4) AS sum2, round(sum(s * s) / sum(CASE WHEN i = j THEN s END), 4) AS ratio4,
+              CAST(0 AS DOUBLE) AS askew, CAST(0 AS DOUBLE) AS apart FROM g""",
+)
+def svd_moments(w: Workspace) -> DataFrame:
+    """Sums of the singular values' second and fourth powers, which follow from the Gram matrix; how far V is from orthonormal,
+    and the columns of the reduced rows from their singular values."""
+    rows, s, v = full_svd(w)
+    columns = [F.sum(F.col("embedding")[i] * F.col("embedding")[i]) for i in range(len(s))]
+    apart = rows.agg(*columns).first()
+    askew = float(np.abs(v.T @ v - np.eye(len(s))).max())
+    gap = float(np.abs(np.array(apart) / s**2 - 1).max())
+    values = (len(s), round(float((s**2).sum()), 4), round(float((s**4).sum() / (s**2).sum()), 4), round(askew, 6), round(gap, 6))
+    return w.spark.createDataFrame([values], "components long, sum2 double, ratio4 double, askew double, apart double")
+
+
+def separated(w: Workspace) -> DataFrame:
+    """Documents as points far apart by language and close together within one."""
+    spot = w.lang_clusters.withColumnRenamed("cluster_id", "lang_no")
+    rows = w.papers.select("id", "seq").join(spot, "id")
+    return rows.select("id", "seq", F.array(F.col("lang_no") * 100.0 + F.col("seq") % 7, (F.col("seq") % 5).cast("double")).alias("embedding"))
+
+
+@query("kmeans_separated", "SELECT id, cluster_id FROM lang_clusters")
+def kmeans_separated(w: Workspace) -> DataFrame:
+    """K-Means finds the languages, numbered in the order of their centers."""
+    points = w.stage("separated", lambda: separated(w))
+    return kmeans.kmeans(points, 4)[0].select("id", "cluster_id")
+
+
+@query(
+    "sweep_choice",
+    """WITH p AS (SELECT cluster_id AS c, cluster_id * 100.0 + doc_id % 7 AS x, CAST(doc_id % 5 AS DOUBLE) AS y
+                  FROM documents JOIN lang_clusters ON id = CAST(doc_id AS VARCHAR)),
+       m AS (SELECT c, avg(x) AS mx, avg(y) AS my FROM p GROUP BY c)
+       SELECT unnest(['euclidean', 'squared_euclidean']) AS metric, CAST(count(DISTINCT c) AS INTEGER) AS best_k,
+              round(sum((x - mx) * (x - mx) + (y - my) * (y - my)), 4) AS inertia FROM p JOIN m USING (c)""",
+)
+def sweep_choice(w: Workspace) -> DataFrame:
+    """The number of clusters that each silhouette chooses, and the inertia of that fit."""
+    points = w.stage("separated", lambda: separated(w))
+    found = None
+    for exact in (True, False):
+        sweep = clustering.k_sweep(points, 2, 6, 3, exact=exact)
+        best = sweep.orderBy(F.desc("silhouette"), "k").limit(1).select("metric", F.col("k").alias("best_k"), F.round("inertia", 4).alias("inertia"))
+        found = best if found is None else found.unionByName(best)
+    return found
+
+
 @query("cluster_count_sweep")
 def cluster_count_sweep(w: Workspace) -> DataFrame:
     return clustering.k_sweep(reduced(w))
