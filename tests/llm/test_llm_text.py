@@ -147,7 +147,7 @@ def test_languages_of_held_out_documents(spark):
 
 def test_language_edge_cases(spark):
     ready(spark)
-    params = language.LanguageParams(words=5, grams=50)
+    params = language.LanguageParams()
     rows = [(1, "the cat and the dog", "en"), (2, "der hund und die katze", "de"), (3, None, "de"), (None, "le chien", "fr"), (4, "x", None)]
     docs = spark.createDataFrame([(*r, 0.5) for r in rows], "doc_id long, text string, lang string, score double")
     model = language.learn_languages(docs, params, "doc_id", "text", "lang")
@@ -167,14 +167,78 @@ def test_a_rare_language_is_learned_beside_a_full_sample(spark):
     params = language.LanguageParams(sample_rows=5)
     model = language.learn_languages(docs, params, "doc_id", "text", "lang")
     assert model.languages == ["de", "en"] and language.LanguageParams().sample_rows == 20_000
-    assert model.predict("der garten", {}, 10)[0] == "de"
+    assert model.predict(["der garten"], {}, 10)[0][0] == "de"
     sizes = Counter(r.lang for r in language.sampled_keys(docs.withColumnRenamed("doc_id", "key"), params).collect())
     assert sizes == {"de": 2, "en": params.least_rows}
 
 
+def made_up_model(counts, longest=4):
+    languages = sorted({lang for lang, *_ in counts})
+    rows = [(length, int(language.digests([unit])[0]), languages.index(lang), n) for lang, length, unit, n in counts]
+    length, key, lang, n = (np.array(c, dtype=t) for c, t in zip(zip(*rows), (np.int64, np.uint64, np.int32, np.int64)))
+    return language.LanguageModel.of_counts(languages, length, key, lang, n, longest, 0.5)
+
+
 def test_back_off_takes_the_longest_known_gram():
-    model = language.LanguageModel(["a", "b"], [{"known": 0}, {"x": 1, "y": 2}, {"xy": 3}], np.zeros((4, 2)))
-    assert model.back_off("xy") == [3, 2] and model.back_off("zz") == []
+    model = made_up_model([("a", 0, "known", 1), ("b", 1, "x", 2), ("b", 1, "y", 2), ("a", 2, "xy", 1)], 2)
+    assert model.back_off(["xy", "zz"]) == [[3, 2], []] and model.resolve(["known"]) == [[0]]
+
+
+def test_scores_equal_plain_counting():
+    rng = random.Random(11)
+    counts = Counter()
+    texts = [(rng.choice("ABC"), " ".join("".join(rng.choices("abcdé", k=rng.randint(1, 5))) for _ in range(6))) for _ in range(30)]
+    for lang, text in texts:
+        for length, unit, n in language.units_of(Counter(language.words_of(text)), 4):
+            counts[lang, length, unit] += n
+    model = made_up_model([(*k, n) for k, n in counts.items()])
+    totals = Counter()
+    for (lang, length, _), n in counts.items():
+        totals[lang, length] += n
+
+    def log(lang, length, unit):
+        return np.log((counts[lang, length, unit] + 0.5) / (totals[lang, length] + 1))
+
+    def known(length, unit):
+        return any((lang, length, unit) in counts for lang in "ABC")
+
+    def plain(text):
+        total = dict.fromkeys("ABC", 0.0)
+        for word in language.words_of(text):
+            if known(0, word):
+                units = [(0, word)]
+            else:
+                padded = f" {word} "
+                picks = ([(k, padded[i : i + k]) for k in range(4, 0, -1) if len(padded[i : i + k]) == k and known(k, padded[i : i + k])] for i in range(max(1, len(padded) - 3)))
+                units = [p[0] for p in picks if p]
+            for lang in total:
+                total[lang] += sum(log(lang, *u) for u in units) / max(len(units), 1)
+        share = np.exp(np.array(list(total.values())) - max(total.values()))
+        return max(total, key=lambda k: (total[k], -ord(k))), share.max() / share.sum()
+
+    asked = [" ".join("".join(rng.choices("abcdéf", k=rng.randint(1, 7))) for _ in range(rng.randint(1, 8))) for _ in range(60)]
+    for (lang, score), text in zip(model.predict(asked, {}, 5), asked):
+        wanted = plain(text)
+        assert lang == wanted[0] and abs(score - wanted[1]) < 1e-9
+
+
+def test_two_hundred_languages_take_bounded_memory():
+    """Units of their own for every language: the model grows with their number, not with units times languages."""
+    rng = np.random.default_rng(5)
+    langs, units = 200, 10_000
+    key = rng.integers(0, 1 << 63, langs * units).astype(np.uint64)
+    lang = np.repeat(np.arange(langs, dtype=np.int32), units)
+    length = np.tile(np.arange(units) % 5, langs)
+    model = language.LanguageModel.of_counts([f"l{i:03}" for i in range(langs)], length, key, lang, np.ones(len(key), dtype=np.int64), 4, 0.5)
+    assert sum(a.nbytes for a in (*model.keys, model.starts, model.langs, model.gains, model.floors)) < 40 * langs * units
+    assert model.predict(["abc"], {}, 10)[0][0] in model.languages
+
+
+def test_repeated_and_clashing_rows_get_equal_answers(spark):
+    docs = spark.createDataFrame([(1, "der hund", "de", "x")] * 3 + [(2, "the dog", "en", "y")], "doc_id long, text string, lang string, lang_pred string")
+    model = language.learn_languages(docs, language.LanguageParams(), "doc_id", "text", "lang")
+    got = Counter(map(tuple, language.identify_languages(docs, model, language.LanguageParams()).collect()))
+    assert sorted(got.values()) == [1, 3] and {k[1] for k in got} == {"de", "en"}
 
 
 # ---------------------------------------------------------------- personal data
