@@ -7,8 +7,6 @@ from collections.abc import Callable
 from functools import lru_cache
 from pathlib import Path
 
-import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,9 +14,8 @@ from pyspark.sql import functions as F
 from folioscope.llm.common import map_batches, ready, stored
 from folioscope.sources.tables import exists, scratch_root
 
-# size of the filter of new digests (16 MB), places that one digest marks in it
-BLOOM_BITS = 1 << 27
-BLOOM_MARKS = 3
+# new digests that are sent to the texts; of more the texts travel
+SENT_DIGESTS = 200_000
 CACHE_SCHEMA = "content string, tokenizer string, n_tokens long"
 
 
@@ -63,32 +60,6 @@ def cache_of(spark: SparkSession, tokenizer_path: str) -> str:
     return f"{scratch_root(spark)}/token-cache-{tokenizer_digest(tokenizer_path)}"
 
 
-def _may_hold(contents: DataFrame):
-    """A Bloom filter of digests, as a condition on ``content``: never false for one of them.
-
-    Its size is fixed, so that it can be known to all tasks; with very many digests it lets everything pass.
-    """
-    spark = contents.sparkSession
-    marks = F.explode(F.array(*(F.pmod(F.xxhash64("content", F.lit(i)), F.lit(BLOOM_BITS)) for i in range(BLOOM_MARKS))))
-    words = contents.select(marks.alias("bit")).groupBy(F.shiftright("bit", 6).alias("word")).agg(
-        F.bit_or(F.expr("shiftleft(1L, int(bit & 63))")).alias("bits")
-    )
-    table = np.zeros(BLOOM_BITS // 64, dtype=np.int64)
-    filled = words.toArrow()
-    table[filled["word"].to_numpy()] = filled["bits"].to_numpy()
-    shared = spark.sparkContext.broadcast(table)
-
-    @F.pandas_udf("boolean")
-    def held(bits: pd.Series) -> pd.Series:
-        at = bits.to_numpy()
-        return pd.Series((shared.value[at >> 6] >> (at & 63) & 1).astype(bool))
-
-    passes = F.lit(True)
-    for i in range(BLOOM_MARKS):
-        passes = passes & held(F.pmod(F.xxhash64("content", F.lit(i)), F.lit(BLOOM_BITS)))
-    return passes
-
-
 def count_tokens(
     docs: DataFrame, tokenizer_path: str, cache: str | None = None, limit: int = 4096, key: str = "doc_id", text: str = "text"
 ) -> DataFrame:
@@ -98,8 +69,8 @@ def count_tokens(
     as empty; nothing else is normalised, since any change of the text can change its tokens. Contents in the cache under
     this tokenizer's digest are not encoded again; of equal new contents one is, whatever their keys. Repeated rows and
     null keys give rows of their own; no rows give no rows. A cache that two runs fill at once may hold a content twice,
-    with the same count; readers take one. If nothing is new, no text is read beyond its digest; if something is, texts are made
-    distinct in their task before they travel, and those that a Bloom filter of the new digests rejects stay.
+    with the same count; readers take one. If nothing is new, no text leaves its task; if something is, texts are made
+    distinct in their task before they travel, and of at most ``SENT_DIGESTS`` new digests only their texts do.
     """
     spark = docs.sparkSession
     ready(spark)
@@ -108,14 +79,15 @@ def count_tokens(
     body = F.coalesce(F.col(text).cast("string"), F.lit(""))
     given = docs.select(F.col(key).alias("key"), body.alias("text")).withColumn("content", F.sha2("text", 256))
     sizes = stored(given.select("key", "content", F.octet_length("text").cast("long").alias("n_bytes")), "digests")
-    warm = exists(spark, cache)
     known = read_cache(spark, cache).where(F.col("tokenizer") == version).select("content")
     fresh = stored(sizes.select("content").distinct().join(known, "content", "left_anti"), "misses")
-    if fresh.limit(1).count():
+    new = fresh.limit(SENT_DIGESTS + 1).count()
+    if new:
+        few = new <= SENT_DIGESTS
         texts = given.select("content", "text")
-        # into a cold cache everything goes
-        texts = texts.where(_may_hold(fresh)) if warm else texts
-        misses = texts.groupBy("content").agg(F.first("text").alias("text")).join(fresh, "content", "left_semi")
+        texts = texts.join(F.broadcast(fresh), "content", "left_semi") if few else texts
+        misses = texts.groupBy("content").agg(F.first("text").alias("text"))
+        misses = misses if few else misses.join(fresh, "content", "left_semi")
         encode_misses(misses, tokenizer_path, version).write.mode("append").parquet(cache)
 
     counts = read_cache(spark, cache).where(F.col("tokenizer") == version)

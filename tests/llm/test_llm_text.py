@@ -401,6 +401,15 @@ def test_equal_texts_under_null_keys_are_encoded_once(spark, tmp_path):
     assert tokens.count_tokens(more, path, cache).count() == 133 and spark.read.parquet(cache).count() == 41
 
 
+@pytest.mark.parametrize("sent", [0, 200_000])
+def test_few_and_many_new_contents(spark, tmp_path, monkeypatch, sent):
+    monkeypatch.setattr(tokens, "SENT_DIGESTS", sent)
+    path, cache = public_tokenizers.path("piece_bpe_32k.model"), f"{tmp_path}/cache"
+    docs = spark.createDataFrame([(i, f"text {i % 9}") for i in range(40)], DOCS)
+    assert tokens.count_tokens(docs.where("doc_id < 5"), path, cache).count() == 5
+    assert tokens.count_tokens(docs, path, cache).count() == 40 and spark.read.parquet(cache).count() == 9
+
+
 def test_a_second_call_encodes_nothing(spark, monkeypatch):
     first = sorted(map(tuple, queries.op6_token_counts(spark, SMALL).collect()))
     monkeypatch.setattr(tokens, "encode_misses", None)
