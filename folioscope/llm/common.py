@@ -34,6 +34,16 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def told_apart_by_place(df: DataFrame) -> DataFrame:
+    """``df``, if its rows come straight from a scan, so that their places are the same in every run.
+
+    Rows that a shuffle deals out have no place of their own: such a table has to be stored first.
+    """
+    if "Exchange" in df._jdf.queryExecution().executedPlan().toString():
+        raise ValueError("rows are told apart by their place in the scan: store the table first")
+    return df
+
+
 def free_name(wanted: str, taken: list[str]) -> str:
     """``wanted``, with underscores before it until no column has this name."""
     while wanted.lower() in {c.lower() for c in taken}:

@@ -119,8 +119,8 @@ def solve_tilts(counted: DataFrame, targets: DataFrame, params: MixParams) -> Da
             "tilts",
         )
         if not state.where("not done").limit(1).count():
-            break
-    return state.select("source", "tilt")
+            return state.select("source", "tilt")
+    raise RuntimeError(f"tilts did not settle in {params.max_steps} steps")
 
 
 def round_to_copies(rated: DataFrame, params: MixParams) -> DataFrame:

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from folioscope.llm.bwt import repeated_places
-from folioscope.llm.common import map_batches, ready, stored
+from folioscope.llm.common import map_batches, ready, stored, told_apart_by_place
 
 MULTIPLIER = np.uint64(0xD1342543DE82EF95)  # odd, so that it has an inverse modulo 2**64
 # bits of a window's rank that hold the place, to take the leftmost of equal anchors
@@ -258,12 +258,12 @@ def remove_repeats(docs: DataFrame, params: RepeatParams = RepeatParams(), key:
     another; strings are judged on the input and never cross rows. Null counts as empty, shorter texts lose nothing,
     repeated rows lose what they share, null keys stay null, no rows give no rows. What is left may end within a
     character and is therefore binary. Rows are told apart by their place in the scan, so ``docs`` has to be a stored
-    table.
+    table; one that a shuffle deals out is refused.
     """
     ready(docs.sparkSession)
     length = params.length
     body = F.coalesce(F.col(text).cast("string"), F.lit("")).cast("binary")
-    rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col(key).alias("key"), body.alias("body"))
+    rows = told_apart_by_place(docs).select(F.monotonically_increasing_id().alias("row"), F.col(key).alias("key"), body.alias("body"))
     hits = stored(repeated_runs(rows.select("row", "body"), params), "repeat-hits")
     listed = hits.groupBy("row").agg(F.collect_list(F.struct("first", "windows")).alias("stretches"))  # of one document
     joined = rows.join(listed, "row", "left").select("key", "body", "stretches")

@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from folioscope.llm.common import free_name, map_batches, ready, stored
+from folioscope.llm.common import free_name, map_batches, ready, stored, told_apart_by_place
 from folioscope.llm.components import connected_components
 
 BITS = 64
@@ -277,10 +277,10 @@ def drop_near_copies(docs: DataFrame, params: SimhashParams = SimhashParams(), k
     """``docs`` with one row left of every group: the one with the least key (nulls last), then the first read.
 
     All columns are kept as they are, whatever their names. The rows are told apart by their place in the scan, so
-    ``docs`` has to be a stored table.
+    ``docs`` has to be a stored table; one that a shuffle deals out is refused.
     """
     ready(docs.sparkSession)
-    placed = docs.select(docs[key].alias("_key"), docs[text].alias("_text"), F.monotonically_increasing_id().alias("_row"))
+    placed = told_apart_by_place(docs).select(docs[key].alias("_key"), docs[text].alias("_text"), F.monotonically_increasing_id().alias("_row"))
     marked = stored(fingerprints(placed, ["_key", "_row"], "_text", params), "fingerprints")
     order = F.struct(F.col("_key").isNull(), "_key", "_row")
     first = marked.groupBy("fp").agg(F.min(order).alias("first"))

@@ -7,7 +7,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from folioscope.llm.common import free_name, ready
+from folioscope.llm.common import free_name, ready, told_apart_by_place
 from folioscope.llm.features import FEATURES, text_features
 from folioscope.llm.mixing import MixParams, mix_sources
 from folioscope.llm.quality import AdditiveModel, QualityParams
@@ -31,11 +31,11 @@ def mixed(docs: DataFrame, params: MixParams = MixParams(), text: str = "text",
     """``docs`` with ``copies`` and ``taken`` words of every document the mix takes; the others go.
 
     Columns of these names are replaced. Rows are told apart by their place in the scan, so ``docs`` has to be a stored
-    table.
+    table; one that a shuffle deals out is refused.
     """
     ready(docs.sparkSession)
     row = free_name("row", docs.columns)
-    numbered = docs.withColumn(row, F.monotonically_increasing_id())
+    numbered = told_apart_by_place(docs).withColumn(row, F.monotonically_increasing_id())
     taken = mix_sources(numbered, params, key=row, text=text, source=source).where("copies > 0")
     taken = taken.select(F.col(row).alias("_mix_row"), F.col("copies").alias("_mix_copies"), F.col("taken").alias("_mix_taken"))
     kept: list[Column] = [numbered[c] for c in docs.columns if c.lower() not in ("copies", "taken")]

@@ -7,10 +7,11 @@ from collections import Counter
 from itertools import combinations
 
 import numpy as np
+import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from folioscope.llm import bwt, repeats, simhash, vectors
+from folioscope.llm import bwt, mixing, repeats, simhash, stages, vectors
 from folioscope.llm.common import stored
 from folioscope.llm.components import connected_components
 
@@ -228,3 +229,25 @@ def test_repeats_equal_brute_force(spark):
         got = repeats.remove_repeats(docs, params).collect()
         assert Counter((r.doc_id, (bytes(r.kept), r.n_bytes, r.n_removed, r.n_spans)) for r in got) == wanted
     assert repeats.remove_repeats(stored(docs.limit(0), "t")).count() == 0
+
+
+def test_rows_without_a_place_are_refused(spark):
+    dealt = spark.createDataFrame([(1, "a b c", "s")] * 3, "doc_id long, text string, source string").repartition(3, "text")
+    for operator in (simhash.drop_near_copies, repeats.remove_repeats, stages.mixed):
+        with pytest.raises(ValueError, match="store the table"):
+            operator(dealt)
+    assert stages.mixed(stored(dealt, "dealt")).count() >= 0
+
+
+def test_tilts_that_do_not_settle_are_an_error(spark):
+    rows = spark.createDataFrame([(i, "w " * (i % 50 + 1), "ab"[i % 2]) for i in range(200)], "doc_id long, text string, source string")
+    with pytest.raises(RuntimeError, match="settle"):
+        mixing.mix_sources(rows, mixing.MixParams(max_steps=1)).collect()
+
+
+def test_very_long_texts_of_fingerprints_and_mixes(spark):
+    long = "word " * 200_000
+    docs = spark.createDataFrame([(1, long, "a"), (2, long + "x", "a"), (3, "short text", "b")], "doc_id long, text string, source string")
+    got = {r.doc_id: r for r in simhash.simhash_groups(docs).collect()}
+    assert got[1].component_id == got[2].component_id == 1 and got[1].fingerprint == f"{plain_fingerprint(long):016x}"
+    assert {r.doc_id: r.size for r in mixing.mix_sources(docs).collect()} == {1: 200_000, 2: 200_001, 3: 2}
