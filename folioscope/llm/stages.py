@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -19,10 +19,10 @@ def drop_low_quality(docs: DataFrame, model: AdditiveModel, params: QualityParam
     shared = docs.sparkSession.sparkContext.broadcast(model)
     threshold = params.threshold
 
-    @F.pandas_udf("boolean")
-    def good(texts: pd.Series) -> pd.Series:
-        values = np.array([text_features(t) for t in texts]).reshape(len(texts), len(FEATURES))
-        return pd.Series(shared.value.score(values) >= threshold)
+    @F.arrow_udf("boolean")
+    def good(texts: pa.Array) -> pa.Array:
+        values = np.array([text_features(t.as_py()) for t in texts]).reshape(len(texts), len(FEATURES))
+        return pa.array(shared.value.score(values) >= threshold)
 
     return docs.where(good(docs[text].cast("string")))
 

@@ -12,7 +12,6 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.core.broadcast import Broadcast
 from pyspark.sql import DataFrame, Row
@@ -310,8 +309,8 @@ def drop_contaminated(
 
 
 def _clean(shared: Broadcast[ItemBlock]):
-    @F.pandas_udf("boolean")
-    def clean(texts: pd.Series) -> pd.Series:
-        return pd.Series([next(shared.value.found(t), None) is None for t in texts], dtype=bool)
+    @F.arrow_udf("boolean")
+    def clean(texts: pa.Array) -> pa.Array:
+        return pa.array([next(shared.value.found(t.as_py()), None) is None for t in texts], pa.bool_())
 
     return clean
