@@ -109,7 +109,7 @@ class MergeList:
 
 
 class Transducer:
-    """Bytes of one word in, final tokens out; holds ``lookahead`` + ``block`` symbols at most."""
+    """Bytes of one word in, final tokens out; holds ``lookahead`` + two blocks of symbols and a token at most."""
 
     def __init__(self, coder: Coder, block: int = WINDOW):
         self.coder, self.block = coder, block
@@ -119,9 +119,10 @@ class Transducer:
         merges, sizes = self.coder.merges, self.coder.sizes
         for start in range(0, len(data), self.block):
             self.window += [self.coder.inner[b] for b in data[start : start + self.block]]
-            final, end = len(self.window) - merges.lookahead - 1, 0
-            if final <= 0:
+            # merged once a block is full, however the bytes come in
+            if len(self.window) <= merges.lookahead + self.block:
                 continue
+            final, end = len(self.window) - merges.lookahead - 1, 0
             for token in merges.merge(self.window[:]):
                 if end + sizes[token] > final:
                     break
