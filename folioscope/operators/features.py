@@ -20,11 +20,16 @@ from pyspark.sql import functions as F
 
 from folioscope.functions import text as tx
 from folioscope.functions.wordlists import VECTOR_STOP_WORDS
+from folioscope.operators.heavy import summarise
 from folioscope.schemas import VOCABULARY
 from folioscope.settings import EMBEDDING_DIM, ENCODE_BATCH, MAX_TERMS
 from folioscope.sources.tables import write_parquet
 
 
+# terms of a summary for each term of the vocabulary cap
+SUMMARY_TERMS = 10
+
+
 def term_counts(docs: DataFrame, text_col: str = "final_text", **kw) -> DataFrame:
     """Long table ``(id, term, n)`` over all terms."""
     every_term = docs.select("id", F.explode(tx.terms(text_col, **kw)).alias("term"))
@@ -103,33 +108,55 @@ class TfidfModel:
         )
 
 
+def _exact_counts(docs: DataFrame, text_col: str, terms: Sequence[str], stop_words: Sequence[str], ngram_max: int) -> list[tuple[str, int, int]]:
+    """``(term, ctf, df)`` of the given terms in one pass over the texts; a task hands on one row per term."""
+    if not terms:
+        return []
+    counted = TfidfModel(None, list(terms), [], tuple(stop_words), ngram_max)._counted(docs.select(text_col), text_col)
+    entries = F.arrays_zip(F.unwrap_udt("_tf")["indices"].alias("i"), F.unwrap_udt("_tf")["values"].alias("n"))
+    each = counted.select(F.explode(entries).alias("e")).select("e.*")
+    sums = each.groupBy("i").agg(F.sum("n").cast("long").alias("ctf"), F.count("*").alias("df"))
+    return [(terms[r.i], r.ctf, r.df) for r in sums.collect()]
+
+
+def _most_frequent(
+    docs: DataFrame, text_col: str, max_terms: int, stop_words: Sequence[str], ngram_max: int, summary_terms: int
+) -> list[tuple[str, int, int]]:
+    """``(term, ctf, df)`` of the ``max_terms`` most frequent terms, ties alphabetical, in alphabetical order.
+
+    A summary of all terms names the candidates, one more pass counts them. They are the whole answer if the last
+    one chosen is more frequent than any term the summary may lack; otherwise all words are counted (``top_terms``).
+    """
+    lists = docs.select(tx.terms(text_col, stop_words, ngram_max).alias("terms"))
+    summary = summarise(lists, max(summary_terms, max_terms))
+    counts = _exact_counts(docs, text_col, summary.candidates(max_terms), stop_words, ngram_max)
+    best = sorted(counts, key=lambda r: (-r[1], r[0].encode()))[:max_terms]
+    certain = not summary.error or (len(best) == max_terms and best[-1][1] > summary.error)
+    if not certain:
+        chosen = [r.term for r in top_terms(docs, text_col, max_terms, stop_words, ngram_max)]
+        best = _exact_counts(docs, text_col, chosen, stop_words, ngram_max)
+    return sorted(best, key=lambda r: r[0].encode())
+
+
 def fit_tfidf(
     docs: DataFrame,
     text_col: str = "final_text",
     max_terms: int = MAX_TERMS,
     stop_words: Sequence[str] = VECTOR_STOP_WORDS,
     ngram_max: int = 2,
+    summary_terms: int | None = None,
 ) -> TfidfModel:
-    """Vocabulary cap by corpus count, then smooth idf ``ln((1+N)/(1+df)) + 1``. Runs jobs over ``docs``.
+    """Vocabulary cap by corpus count, then smooth idf ``ln((1+N)/(1+df)) + 1``. Runs two passes over ``docs``.
 
-    What comes back to the driver is the vocabulary, at most ``max_terms`` rows.
+    Terms are counted in summaries of ``summary_terms`` terms (10 for each term of the cap unless given), so no task
+    holds or sends more, however many different terms the corpus has; the size does not change the result. What comes
+    back to the driver is one summary and the vocabulary, at most ``max_terms`` rows.
     """
     if max_terms < 1:
         raise ValueError("max_terms must be positive")
-    spark = docs.sparkSession
-    chosen = top_terms(docs, text_col, max_terms, stop_words, ngram_max)
-    terms = sorted((r.term for r in chosen), key=str.encode)
-    ctf = {r.term: r.ctf for r in chosen}
-    n_docs = docs.count()
-    df_of = dict.fromkeys(range(len(terms)), 0)
-    if terms:
-        bare = TfidfModel(None, terms, [], tuple(stop_words), ngram_max)
-        present = bare._counted(docs.select(text_col), text_col).select(
-            F.explode(F.unwrap_udt("_tf")["indices"]).alias("term_idx")
-        )
-        df_of.update({r.term_idx: r["count"] for r in present.groupBy("term_idx").count().collect()})
-    counted = [(t, ctf[t], df_of[i]) for i, t in enumerate(terms)]
-    return _model(spark, counted, n_docs, stop_words, ngram_max)
+    size = SUMMARY_TERMS * max_terms if summary_terms is None else summary_terms
+    counted = _most_frequent(docs, text_col, max_terms, stop_words, ngram_max, size)
+    return _model(docs.sparkSession, counted, docs.count(), stop_words, ngram_max)
 
 
 def _model(spark: SparkSession, counted: list[tuple[str, int, int]], n_docs: int, stop_words: Sequence[str], ngram_max: int) -> TfidfModel:
