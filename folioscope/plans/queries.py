@@ -425,13 +425,13 @@ def tfidf_weights(w: Workspace) -> DataFrame:
     return features.long_tfidf(w.tfidf, w.vocab).select("id", "term", r6("weight"))
 
 
-@query(
-    "tfidf_of_new_texts",
-    f"""WITH new_terms AS (SELECT id, unnest({sql.with_bigrams("t")}) AS term FROM (
+NEW_TEXT_WEIGHTS = f"""WITH new_terms AS (SELECT id, unnest({sql.with_bigrams("t")}) AS term FROM (
             SELECT CAST(item_id AS VARCHAR) AS id, {sql.tokens("text", True)} AS t FROM benchmark)),
         raw AS (SELECT id, term, count(*) * any_value(idf) AS v FROM new_terms JOIN vocab USING (term) GROUP BY id, term)
-        SELECT id, term, round(w, 6) AS weight FROM ({sql.unit("raw")})""",
-)
+        SELECT id, term, round(w, 6) AS weight FROM ({sql.unit("raw")})"""
+
+
+@query("tfidf_of_new_texts", NEW_TEXT_WEIGHTS)
 def tfidf_of_new_texts(w: Workspace) -> DataFrame:
     """Benchmark passages weighted with the vocabulary of the documents."""
     new = w.table("benchmark").select(F.col("item_id").cast("string").alias("id"), "text")
@@ -439,6 +439,17 @@ def tfidf_of_new_texts(w: Workspace) -> DataFrame:
     return features.long_tfidf(rows, w.vocab).select("id", "term", r6("weight"))
 
 
+@query("tfidf_pipeline_of_new_texts", NEW_TEXT_WEIGHTS)
+def tfidf_pipeline_of_new_texts(w: Workspace) -> DataFrame:
+    """The same weights from a fitted ``pyspark.ml`` pipeline that was saved and loaded again."""
+    stage = w.tfidf_pipeline.stages[0]
+    new = w.table("benchmark").select(F.col("item_id").cast("string").alias("id"), "text")
+    sparse = F.unwrap_udt("features")
+    rows = stage.transform(new, {stage.inputCol: "text"})
+    rows = rows.select("id", sparse["indices"].alias("term_idx"), sparse["values"].alias("weight"))
+    return features.long_tfidf(rows, stage.fitted.vocab).select("id", "term", r6("weight"))
+
+
 def _shape_encoder() -> Callable[[list[str]], np.ndarray]:
     return lambda texts: np.array([[len(t), t.count(" "), t.count("e")] for t in texts], dtype="float32")
 

@@ -5,10 +5,12 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import cached_property
 
+from pyspark.ml import Pipeline, PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from folioscope.operators import cleaning, evaluation, features, postings, similarity, trigrams
+from folioscope.operators.vectorizer import TfidfVectorizer
 from folioscope.session import ship_package
 from folioscope.settings import EVAL_QUERIES, SWEEP_KS, SWEEP_QUERIES
 from folioscope.sources.papers import papers_from_documents, spread, vectors_from_embeddings
@@ -85,6 +87,13 @@ class Workspace:
     def tfidf(self) -> DataFrame:
         return self.stage("tfidf", lambda: self.model.transform(self.clean))
 
+    @cached_property
+    def tfidf_pipeline(self) -> PipelineModel:
+        path = f"{self.root}/tfidf_pipeline"
+        plan = Pipeline(stages=[TfidfVectorizer(inputCol="final_text", outputCol="features")])
+        plan.fit(self.clean).write().overwrite().save(path)
+        return PipelineModel.load(path)
+
     @cached_property
     def tfidf_index(self) -> postings.SparseIndex:
         if not exists(self.spark, f"{self.root}/index/terms"):
