@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from folioscope import settings
 from folioscope.functions import text as tx
-from folioscope.operators import cleaning, clustering, evaluation, features, keywords, kmeans, landscape, lookup, pivots, postings, similarity, trigrams
+from folioscope.operators import cleaning, clustering, evaluation, features, keywords, kmeans, landscape, layout, lookup, pivots, postings, similarity, trigrams
 from folioscope.plans import oracles as sql
 from folioscope.plans.prepare import PrepareConfig, prepare, summary
 from folioscope.plans.refresh import Corpus, refresh
@@ -962,6 +962,41 @@ def corpus_summary(w: Workspace) -> DataFrame:
 # ---------------------------------------------------------------- map
 
 
+@query("neighbour_map")
+def neighbour_map(w: Workspace) -> DataFrame:
+    """Places of all documents on a map laid out on landmarks."""
+    return w.stage("neighbour_map", lambda: layout.landmark_map(reduced(w))).select("id", r6("x"), r6("y"))
+
+
+@query("map_agreement")
+def map_agreement(w: Workspace) -> DataFrame:
+    """The share of nearest documents that the landmark map keeps, beside that of two components."""
+    layouts = {"landmarks": neighbour_map(w), "components": clustering.project_2d(reduced(w))}
+    found = [
+        layout.neighbourhood_agreement(reduced(w), places, w.queries(), TOP).select(F.lit(name).alias("layout"), "queries", r6("agreement"))
+        for name, places in layouts.items()
+    ]
+    return found[0].union(found[1])
+
+
+@query(
+    "neighbourhood_agreement",
+    f"""WITH v AS (SELECT CAST(vec_id AS VARCHAR) AS id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
+        q AS (SELECT v.* FROM v JOIN ({sql.sampled("v", settings.EVAL_QUERIES)}) s ON s.query_id = v.id),
+        gaps AS (SELECT q.id AS query_id, v.id, list_distance(q.e, v.e) AS high, list_distance(q.e[1:2], v.e[1:2]) AS flat
+                 FROM q JOIN v ON v.id <> q.id),
+        places AS (SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY round(high * high, 9), id) AS h,
+                          row_number() OVER (PARTITION BY query_id ORDER BY round(flat * flat, 9), id) AS f FROM gaps)
+        SELECT count(DISTINCT query_id) AS queries,
+               round(count(CASE WHEN h <= {TOP} AND f <= {TOP} THEN 1 END) / {TOP} / count(DISTINCT query_id), 6) AS agreement FROM places""",
+)
+def neighbourhood_agreement(w: Workspace) -> DataFrame:
+    """How well the first two components stand for the vectors."""
+    coords = w.vectors.select("id", *[F.get("embedding", F.lit(i)).cast("double").alias(c) for i, c in enumerate("xy")])
+    found = layout.neighbourhood_agreement(w.vectors, coords, w.vector_queries(), TOP)
+    return found.select("queries", r6("agreement"))
+
+
 def plane(w: Workspace) -> DataFrame:
     """Stand-in coordinates computed from document columns, so that SQL can follow."""
     return w.table("documents").select(
