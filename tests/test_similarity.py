@@ -1,10 +1,13 @@
 from __future__ import annotations
 
+import time
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from folioscope.operators import similarity
+from folioscope.operators.blocks import Rows
 from folioscope.settings import Limits
 
 BLOCKS = Limits(block_entries=60)
@@ -150,3 +153,28 @@ def test_recommend_one_filters_the_paper_scan(corpus, tmp_path):
     papers = corpus.spark.read.parquet(str(tmp_path / "papers"))
     plan = similarity.recommend(papers, corpus.tfidf, "7", 4)._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters: [In(id" in plan
+
+
+def test_lists_by_tiles_take_little_time_and_keep_all_other_rows():
+    """Of many rows with a query's id none takes a place from another row; a list costs about what its products cost."""
+    rng = np.random.default_rng(3)
+    values = rng.normal(size=(3000, 16))
+    values[5:9] = values[4]
+    values[100] = np.nan
+    ids = np.array([str(i // 4) for i in range(3000)], object)
+    order = rng.permutation(3000)
+    rows = Rows(ids[order], order.astype(np.int64), values[order], np.full(3000, 16)).unit()
+    asked = Rows(np.array([str(i) for i in range(750)], object), np.arange(0, 3000, 4), values[::4], np.full(750, 16)).unit()
+    best = similarity._Best(asked, 5)
+    for start in range(0, 3000, 1000):
+        best.add(rows.part(start, start + 1000))
+    scores = np.nan_to_num(asked.value @ rows.value.T, nan=-np.inf)
+    for i in rng.choice(750, 60, replace=False):
+        other = np.flatnonzero((rows.ids != asked.ids[i]) & np.isfinite(scores[i]))
+        wanted = other[np.lexsort((rows.seq[other], -np.rint(scores[i, other] * 1e6)))][:5]
+        assert best.seq[i][np.isfinite(best.score[i])].tolist() == rows.seq[wanted].tolist()
+    many = Rows(np.array([f"x{i}" for i in range(8000)], object), np.arange(8000), rng.normal(size=(8000, 64)), np.full(8000, 64)).unit()
+    best, start = similarity._Best(many, 5), time.perf_counter()
+    best.add(many)
+    # 64 million pairs; the sorting of all scores took 7 seconds
+    assert time.perf_counter() - start < 4
