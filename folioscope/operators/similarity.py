@@ -43,7 +43,7 @@ class _Best:
     Once a list is full its last entry is a floor: of a tile of scores only the few above it are taken out and merged.
     """
 
-    def __init__(self, queries: Rows, k: int):
+    def __init__(self, queries: Rows, k: int, floor: np.ndarray | None = None):
         self.scorer = Scorer(queries)
         self.query_ids = queries.ids
         self.k = k
@@ -55,7 +55,7 @@ class _Best:
         self.seq = np.full(shape, np.iinfo(np.int64).max)
         self.score = np.full(shape, -np.inf)
         # lowest score that may enter a list
-        self.floor = np.full(len(queries), -np.inf)
+        self.floor = np.full(len(queries), -np.inf) if floor is None else floor.copy()
         if queries.index is None:
             # such a row has no score with any other
             self.floor[~np.isfinite(queries.value).all(axis=1)] = np.inf
@@ -118,7 +118,7 @@ class _Best:
         first = np.searchsorted(query[order], changed)
         top = order[first[:, None] + np.arange(self.k)]
         self.ids[changed], self.seq[changed], self.score[changed] = ids[top], seq[top], score[top]
-        self.floor[changed] = self.score[changed, -1] - 1.01 * 10.0**-RANK_DIGITS
+        self.floor[changed] = np.maximum(self.floor[changed], self.score[changed, -1] - 1.01 * 10.0**-RANK_DIGITS)
 
     def table(self) -> pa.Table:
         found = np.isfinite(self.score)
