@@ -181,3 +181,24 @@ def test_map_points(spark):
     assert rows["p2"].color_idx == 1 and rows["p2"].highlighted and not rows["p0"].highlighted
     assert {(r.shown, r.total) for r in rows.values()} == {(3, 3)}
     assert landscape.map_note(found).first().note == "Showing 3 of 3 papers"
+
+
+def test_silhouettes_of_labelings_over_several_tiles_equal_brute_force(spark):
+    """More points than a tile holds, one cluster of one point, and a place that two rows share."""
+    n = clustering.OTHERS + 300
+    rng = np.random.default_rng(6)
+    x = rng.normal(size=(n, 2))
+    x[7] = x[8]
+    labels = np.stack([rng.integers(0, 3, n), np.arange(n) == 5], axis=1).astype(int)
+    rows = [(str(i), i, x[i].tolist(), labels[i].tolist()) for i in range(n)]
+    table = spark.createDataFrame(rows, "id string, seq long, embedding array<double>, labels array<int>").repartition(3)
+    gaps = np.sqrt(((x[:, None] - x[None]) ** 2).sum(axis=2))
+    for got, own in zip(clustering._silhouettes_of_labelings(table, 2), labels.T):
+        size = np.bincount(own)
+        totals = np.stack([gaps[:, own == c].sum(axis=1) for c in range(len(size))], axis=1)
+        a = totals[np.arange(n), own] / np.maximum(size[own] - 1, 1)
+        means = totals / size
+        means[np.arange(n), own] = np.inf
+        b = means.min(axis=1)
+        wanted = np.where(size[own] > 1, (b - a) / np.maximum(a, b), 0.0).mean()
+        assert abs(got - wanted) < 1e-9
