@@ -9,9 +9,12 @@ from __future__ import annotations
 import re
 import re._constants as kinds
 import re._parser as parser
+from collections.abc import Iterator
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from folioscope.operators import lookup
@@ -21,6 +24,8 @@ from folioscope.settings import LIMITS, SEARCH_LIMIT, Limits
 from folioscope.sources.tables import scratch_path, write_parquet
 
 FIELDS = ("title", "abstract")
+# characters of texts that are cut into trigrams at once
+CHARACTERS = 4_000_000
 # rows of a block of postings; trigrams whose rows are intersected before rows are read
 BLOCK_ROWS = 4_096
 MEETING = 4
@@ -37,26 +42,72 @@ class TrigramIndex:
     papers: DataFrame
 
 
-def trigrams(text: Column) -> Column:
-    """All distinct trigrams of a text; linear in its length."""
-    return F.array_distinct(F.regexp_extract_all(text, F.lit("(?s)(?=(.{3}))"), F.lit(1)))
+def _postings_of(seq: np.ndarray, texts: list[list[str]]) -> Iterator[pa.RecordBatch]:
+    """``(gram, rows)`` of some rows: their columns' trigrams of code points, a row once for each trigram that it holds."""
+    n = len(seq)
+    lengths = np.array([len(t) for column in texts for t in column])
+    codes = np.frombuffer("".join("".join(column) for column in texts).encode("utf-32-le"), np.uint32)
+    present = np.zeros(int(codes.max(initial=0)) + 1, bool)
+    present[codes] = True
+    known = np.flatnonzero(present).astype(np.uint32)
+    place = (np.cumsum(present) - 1)[codes]
+    size = len(known)
+    if size**3 * n >= 2**63:
+        half = n // 2
+        yield from _postings_of(seq[:half], [column[:half] for column in texts])
+        yield from _postings_of(seq[half:], [column[half:] for column in texts])
+        return
+    left = np.repeat(np.cumsum(lengths), lengths) - np.arange(len(codes))
+    first = np.flatnonzero(left > 2)
+    if not len(first):
+        return
+    row = np.repeat(np.tile(np.arange(n), len(texts)), lengths)[first]
+    found = np.unique(((place[first] * size + place[first + 1]) * size + place[first + 2]) * n + row)
+    gram, row = np.divmod(found, n)
+    starts = np.flatnonzero(np.diff(gram, prepend=-1))
+    gram = gram[starts]
+    letters = np.stack([known[gram // size**2], known[gram // size % size], known[gram % size]], axis=1).tobytes().decode("utf-32-le")
+    names = pa.array([letters[i : i + 3] for i in range(0, len(letters), 3)], pa.string())
+    ends = pa.array(np.append(starts, len(row)), pa.int32())
+    yield pa.record_batch([names, pa.ListArray.from_arrays(ends, pa.array(seq[row]))], names=["gram", "rows"])
+
+
+def _partial_postings(papers: DataFrame) -> DataFrame:
+    """``(gram, rows)`` of some hundred rows each, made in the task that reads them: what is grouped later are lists, not single entries."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = [batch[c].to_pylist() for c in FIELDS]
+            seq = batch["seq"].to_numpy(zero_copy_only=False).astype(np.int64, copy=False)
+            reached = np.cumsum([sum(map(len, row)) for row in zip(*texts)])
+            start = 0
+            while start < len(seq):
+                stop = max(start + 1, int(np.searchsorted(reached, (reached[start - 1] if start else 0) + CHARACTERS, side="right")))
+                yield from _postings_of(seq[start:stop], [column[start:stop] for column in texts])
+                start = stop
+
+    lowered = papers.where("seq is not null").select("seq", *(F.coalesce(F.lower(c), F.lit("")).alias(c) for c in FIELDS))
+    return lowered.mapInArrow(run, "gram string, rows array<bigint>")
 
 
 def build_index(papers: DataFrame, path: str, limits: Limits = LIMITS) -> TrigramIndex:
     """Write the index of ``papers`` (``seq``, ``title``, ``abstract``) below ``path`` and return it.
 
-    The rows of a trigram are dealt to parts by a hash, so that a trigram of all rows is grouped nowhere. Null fields have none.
+    The lists of rows that tasks make of their texts are dealt to parts by a hash, so that a trigram of all rows is grouped
+    nowhere. Null fields have no trigrams.
     """
     spark = papers.sparkSession
-    own = F.array_distinct(F.concat(*(F.coalesce(trigrams(F.lower(c)), F.array().cast("array<string>")) for c in FIELDS)))
-    entries = papers.select("seq", F.explode(own).alias("gram"))
-    write_parquet(entries.groupBy("gram").agg(F.count("*").alias("n")), f"{path}/grams")
+    write_parquet(_partial_postings(papers), f"{path}/partial")
+    partial = spark.read.parquet(f"{path}/partial")
+    write_parquet(partial.groupBy("gram").agg(F.sum(F.size("rows")).alias("n")), f"{path}/grams")
     grams = spark.read.parquet(f"{path}/grams")
     parts = grams.where(F.col("n") > BLOCK_ROWS).select("gram", F.ceil(F.col("n") / BLOCK_ROWS).alias("parts"))
     # few trigrams have more than one part: these are known to all tasks, within the bound
-    parted = entries.join(carrier(parts, limits)(parts), "gram", "left")
-    part = F.pmod(F.xxhash64("seq"), F.coalesce("parts", F.lit(1)))
-    blocks = parted.groupBy("gram", part.alias("part")).agg(F.count("*").alias("n"), F.sort_array(F.collect_list("seq")).alias("rows"))
+    parted = partial.join(carrier(parts, limits)(parts), "gram", "left")
+    part = F.pmod(F.xxhash64(F.get("rows", F.lit(0))), F.coalesce("parts", F.lit(1)))
+    blocks = parted.groupBy("gram", part.alias("part")).agg(F.collect_list("rows").alias("rows"))
+    blocks = blocks.select("gram", "part", F.sort_array(F.flatten("rows")).alias("rows"))
+    blocks = blocks.select("gram", "part", F.size("rows").cast("long").alias("n"), "rows")
     write_parquet(blocks.repartitionByRange("gram", "part").sortWithinPartitions("gram", "part"), f"{path}/postings")
     return read_index(spark, path, papers)
 

@@ -61,3 +61,14 @@ def test_few_rows_are_read(spark, papers, tmp_path):
 def test_empty_corpus(spark, tmp_path):
     index = trigrams.build_index(spark.createDataFrame([], PAPERS), str(tmp_path / "index"))
     assert trigrams.search_indexed(index, "galaxy").count() == 0
+
+
+def test_lists_of_rows_are_grouped_not_single_entries(spark, tmp_path):
+    """Tasks hand on one list per trigram and chunk of rows: the index of many equal texts has few rows to shuffle."""
+    rows = [(str(i), None, f"Galaxy \0{i % 3} star\U0001f600s", "", "x", i) for i in range(2000)]
+    index = trigrams.build_index(spark.createDataFrame(rows, PAPERS).coalesce(2), str(tmp_path / "index"))
+    found = {r.gram: r.rows for r in index.postings.collect()}
+    assert found["gal"] == list(range(2000)) and found["r\U0001f600s"] == list(range(2000)) and found[" \0001"] == list(range(1, 2000, 3))
+    assert {r.gram: r.n for r in index.grams.collect()} == {g: len(rows) for g, rows in found.items()}
+    partial = spark.read.parquet(str(tmp_path / "index" / "partial"))
+    assert partial.count() <= 2 * len(found) and partial.agg(F.sum(F.size("rows"))).first()[0] == 2000 * 14
