@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -77,3 +78,14 @@ def test_empty_rows_and_tables(spark, tmp_path):
     assert postings.topk_indexed(none, queries, 3).count() == 0
     with pytest.raises(Exception, match="not negative"):
         postings.build_index(spark.createDataFrame([("a", 0, [1], [-1.0])], SPARSE), str(tmp_path / "bad"))
+
+
+def test_time_of_a_long_row_follows_its_entries(spark, tmp_path):
+    """The length of a row is added up once, not once for each of its entries."""
+    n = 40_000
+    rows = spark.createDataFrame([("a", 0, list(range(n)), [0.5 + i % 7 for i in range(n)]), ("b", 1, [0], [2.0])], SPARSE)
+    start = time.time()
+    index = postings.build_index(rows, str(tmp_path / "index"))
+    assert time.time() - start < 20
+    total = index.postings.where("term_idx > 0").select(F.explode("entries").alias("e")).agg(F.count("*").alias("n"), F.sum(F.col("e.weight") * F.col("e.weight")).alias("s")).first()
+    assert total.n == n - 1 and abs(total.s - (1 - 0.25 / sum((0.5 + i % 7) ** 2 for i in range(n)))) < 1e-9
