@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from folioscope.functions.sampling import sample_key
 from folioscope.operators import clustering, keywords, kmeans, landscape
+from folioscope.operators.blocks import Rows
 from folioscope.schemas import SEQUENCED_PAPER
 from folioscope.settings import Limits
 
@@ -202,3 +203,30 @@ def test_silhouettes_of_labelings_over_several_tiles_equal_brute_force(spark):
         b = means.min(axis=1)
         wanted = np.where(size[own] > 1, (b - a) / np.maximum(a, b), 0.0).mean()
         assert abs(got - wanted) < 1e-9
+
+
+@pytest.mark.parametrize("step", [40, 4_000_000])
+def test_rare_dimensions_are_multiplied_by_entry(monkeypatch, step):
+    """Sparse rows times a matrix and back: equal to the dense product, in few dense cells and without a copy for every row."""
+    monkeypatch.setattr(clustering, "STEP", step)
+    monkeypatch.setattr(clustering, "HEIGHT", 20)
+    monkeypatch.setattr(clustering, "ENTRIES", 7)
+    monkeypatch.setattr(clustering, "COMMON", 0.3)
+    rng = np.random.default_rng(4)
+    width, matrix = 300, rng.standard_normal((300, 3))
+    chosen = [np.array([], int), *([0] * (i % 2) + sorted(rng.choice(np.arange(1, width), i % 6, replace=False).tolist()) for i in range(50))]
+    length = np.array([len(c) for c in chosen])
+    index = np.concatenate(chosen).astype(np.int64)
+    rows = Rows(np.arange(51).astype(str), np.arange(51), rng.random(len(index)), length, index)
+    whole = np.zeros((51, width))
+    whole[np.repeat(np.arange(51), length), index] = rows.value
+    total, products = np.zeros((width, 3)), []
+    for part in clustering._parts(rows, width):
+        assert part.dense.size <= 40 and set(part.common) <= {0}
+        products.append(part.times(matrix))
+        part.add_transposed_times(products[-1], total)
+    assert np.concatenate(products) == pytest.approx(whole @ matrix)
+    assert total == pytest.approx(whole.T @ (whole @ matrix))
+    filled = Rows(np.arange(9), np.arange(9), rng.random(45), np.full(9, 5), np.tile(np.arange(5), 9))
+    (only,) = clustering._parts(filled, 5) if step > 45 else (next(clustering._parts(filled, 5)),)
+    assert not len(only.index) and only.dense.shape[1] == 5
