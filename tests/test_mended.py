@@ -6,9 +6,10 @@ import time
 
 import numpy as np
 import pytest
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
-from folioscope.operators import blocks, cleaning, evaluation, features, kmeans, similarity
+from folioscope.operators import blocks, cleaning, clustering, evaluation, features, kmeans, similarity
 from folioscope.plans.prepare import PrepareConfig, prepare
 from folioscope.sources.papers import head, load_papers
 
@@ -89,3 +90,39 @@ def test_preparation_takes_every_row_and_the_last_of_an_id(spark, tmp_path):
     assert kept.where(F.col("id") == "3").first().seq == 23
     with pytest.raises(ValueError, match="other settings"):
         prepare(spark, papers, f"{tmp_path}/out", PrepareConfig(eval_queries=5, top_k=4, svd_components=3, n_clusters=2, restarts=1))
+
+
+def test_a_sweep_reads_its_points_a_few_times(spark):
+    rng = np.random.default_rng(7)
+    rows = [(str(i), i, (rng.standard_normal(6) + i % 2).tolist()) for i in range(400)]
+    read = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            read.add(batch.num_rows)
+            yield batch
+
+    points = spark.createDataFrame(rows, "id string, seq long, embedding array<double>").mapInArrow(counted, "id string, seq long, embedding array<double>")
+    sweep = clustering.k_sweep(points, 3, 8, restarts=3).orderBy("k").collect()
+    assert [r.k for r in sweep] == list(range(3, 9)) and read.value <= 8 * 400
+
+
+def test_silhouettes_of_a_sweep_are_those_of_each_labeling(spark):
+    rng = np.random.default_rng(8)
+    x, ks = rng.standard_normal((300, 5)) + 3, [2, 4, 7]
+    labels = np.stack([rng.integers(0, k, 300) for k in ks], axis=1)
+    labels[:, 2] = np.where(labels[:, 2] == 5, 4, labels[:, 2])
+    labels[0, 2] = 5
+    rows = [(str(i), i, x[i].tolist(), labels[i].tolist()) for i in range(300)]
+    table = spark.createDataFrame(rows, "id string, seq long, embedding array<double>, labels array<int>").repartition(3)
+    for i, value in enumerate(clustering._squared_silhouettes(table, ks)):
+        vectors = table.select(F.get("labels", F.lit(i)).alias("cluster_id"), array_to_vector("embedding").alias("features"))
+        assert value == pytest.approx(clustering.silhouette_linear(vectors))
+
+
+def test_of_equally_near_centers_the_first_one_gets_the_row():
+    centers = np.array([[5.0, 0.0], [1.0, 0.0], [-1.0, 0.0], [1.0, 0.0]])
+    nearest = kmeans._Nearest([centers, centers[::-1]])
+    nearest.add(np.array([[0.0, 2.0], [1.0, 1.0], [4.0, 0.0]]), costs=True)
+    assert nearest.total[:, -2].tolist() == [1, 2, 0, 0, 2, 0, 0, 1]
+    assert nearest.total[:, -1].tolist() == [1, 6, 0, 0, 6, 0, 0, 1]
