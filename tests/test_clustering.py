@@ -205,6 +205,26 @@ def test_silhouettes_of_labelings_over_several_tiles_equal_brute_force(spark):
         assert abs(got - wanted) < 1e-9
 
 
+@pytest.mark.parametrize("grouped", [1, 10**9], ids=["by run", "by point"])
+def test_silhouettes_beyond_the_bound_meet_part_by_part(spark, monkeypatch, grouped):
+    """All labelings in one pass over the pairs, in many tasks, with the points shipped in several parts; repeated ids stay rows."""
+    monkeypatch.setattr(clustering, "PAIRS", 20_000)
+    monkeypatch.setattr(clustering, "OTHERS", 64)
+    monkeypatch.setattr(clustering, "POINTS", 16)
+    monkeypatch.setattr(clustering, "GROUPED", grouped)
+    monkeypatch.setattr(clustering, "silhouette_points", lambda *_: pytest.fail("one labeling at a time"))
+    rng, n = np.random.default_rng(8), 400
+    x = np.concatenate([rng.normal(c, 1.0, size=(n // 4, 2)) for c in (0, 8, 16, 40)])
+    labels = np.stack([np.arange(n) * 4 // n, rng.integers(0, 3, n)], axis=1)
+    rows = [(str(i % 390), i, x[i].tolist(), labels[i].tolist()) for i in range(n)]
+    table = spark.createDataFrame(rows, "id string, seq long, embedding array<double>, labels array<int>").cache()
+    got = clustering._silhouettes_of_labelings(table, 2, Limits(block_entries=300))
+    assert got == pytest.approx([brute_silhouette(x, own).mean() for own in labels.T], abs=1e-9)
+    points = table.select("id", "seq", "embedding")
+    sweep = clustering.k_sweep(points, 3, 4, restarts=2, exact=True, limits=Limits(block_entries=300)).orderBy("k").collect()
+    assert len(sweep) == 2 and sweep[1].silhouette == pytest.approx(got[0])
+
+
 @pytest.mark.parametrize("step", [40, 10_000])
 def test_rare_dimensions_are_multiplied_by_entry(monkeypatch, step):
     """Sparse rows times a matrix and back: equal to the dense product, in few dense cells and without a copy for every row."""
