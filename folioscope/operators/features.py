@@ -22,7 +22,7 @@ from folioscope.functions import text as tx
 from folioscope.functions.wordlists import VECTOR_STOP_WORDS
 from folioscope.operators.heavy import summarise
 from folioscope.schemas import VOCABULARY
-from folioscope.settings import EMBEDDING_DIM, ENCODE_BATCH, MAX_TERMS
+from folioscope.settings import EMBEDDING_DIM, ENCODE_BATCH, LIMITS, MAX_TERMS, Limits
 from folioscope.sources.tables import write_parquet
 
 
@@ -30,10 +30,27 @@ from folioscope.sources.tables import write_parquet
 SUMMARY_TERMS = 10
 
 
-def term_counts(docs: DataFrame, text_col: str = "final_text", **kw) -> DataFrame:
-    """Long table ``(id, term, n)`` over all terms."""
-    every_term = docs.select("id", F.explode(tx.terms(text_col, **kw)).alias("term"))
-    return every_term.groupBy("id", "term").agg(F.count("*").alias("n"))
+def term_counts(docs: DataFrame, text_col: str = "final_text", limits: Limits = LIMITS, **kw) -> DataFrame:
+    """Long table ``(id, term, n)`` over all terms.
+
+    Terms are counted in the row. Only the counts of rows that share an id are shuffled; one pass over the ids, which must
+    not change from one reading of ``docs`` to the next, finds those.
+    """
+
+    def each(rows: DataFrame) -> DataFrame:
+        return rows.select("id", F.explode(tx.counted(tx.terms(text_col, **kw))).alias("e")).select("id", "e.term", "e.n")
+
+    def added(rows: DataFrame) -> DataFrame:
+        return each(rows).groupBy("id", "term").agg(F.sum("n").alias("n"))
+
+    shared = docs.groupBy("id").agg(F.count("*").alias("rows")).where("rows > 1").select(F.col("id").alias("_shared"))
+    n = shared.limit(limits.broadcast_rows + 1).count()
+    if not n:
+        return each(docs)
+    if n > limits.broadcast_rows:
+        return added(docs)
+    shared, same = F.broadcast(shared), F.col("id").eqNullSafe(F.col("_shared"))
+    return each(docs.join(shared, same, "left_anti")).unionByName(added(docs.join(shared, same, "left_semi")))
 
 
 def _count(terms: DataFrame) -> DataFrame:

@@ -73,7 +73,8 @@ class Workspace:
 
     @cached_property
     def clean(self) -> DataFrame:
-        return self.stage("clean", lambda: cleaning.preprocess(self.spread_papers, self.lemmas))
+        """``(id, seq, final_text)``: what later stages read of the cleaned corpus."""
+        return self.stage("clean", lambda: cleaning.preprocess(self.spread_papers, self.lemmas).select("id", "seq", "final_text"))
 
     @cached_property
     def vocab(self) -> DataFrame:

@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from folioscope.operators import features
+from folioscope.settings import Limits
 
 DOCS = [
     ("1", 1, "alpha beta beta gamma"),
@@ -85,6 +86,29 @@ def test_transform_shuffles_nothing(docs, spark, tmp_path):
     assert "Exchange" not in plan
 
 
+def test_term_counts_shuffle_only_rows_that_share_an_id(spark, tmp_path):
+    """Terms of single ids are counted in their rows; repeated and missing ids are added up, within the bound and beyond it."""
+    more = [*DOCS, ("2", 5, "beta beta"), (None, 6, "gamma delta gamma"), (None, 7, "gamma"), ("5", 8, None), ("6", 9, "a a")]
+    wanted = {}
+    for i, _, text in more:
+        wanted.setdefault(i, Counter()).update(grams(text or ""))
+    wanted = {(i, t): n for i, counts in wanted.items() for t, n in counts.items()}
+    for name, rows in (("single", DOCS), ("shared", more)):
+        spark.createDataFrame(rows, "id string, seq long, final_text string").repartition(3, "seq").write.parquet(str(tmp_path / name))
+    for limits in (Limits(), Limits(broadcast_rows=1)):
+        found = features.term_counts(spark.read.parquet(str(tmp_path / "shared")), limits=limits)
+        rows = found.collect()
+        assert {(r.id, r.term): r.n for r in rows} == wanted and len(rows) == len(wanted)
+        assert found.dtypes == [("id", "string"), ("term", "string"), ("n", "bigint")]
+    single = features.term_counts(spark.read.parquet(str(tmp_path / "single")))
+    assert "Exchange" not in single._jdf.queryExecution().executedPlan().toString()
+    assert {(r.id, r.term): r.n for r in single.collect()} == {k: n for k, n in wanted.items() if k[0] in ("1", "3", "4")} | {("2", t): n for t, n in Counter(grams(DOCS[1][2])).items()}
+
+
+def test_the_clean_stage_keeps_what_later_stages_read(corpus):
+    assert corpus.clean.columns == ["id", "seq", "final_text"]
+
+
 def test_empty_corpus(docs):
     model = features.fit_tfidf(docs.limit(0))
     assert model.terms == [] and model.transform(docs).where("size(weight) > 0").count() == 0
