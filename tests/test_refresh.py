@@ -9,7 +9,7 @@ from pathlib import Path
 import pytest
 
 from folioscope.plans.prepare import PrepareConfig, prepare
-from folioscope.plans.refresh import Refresh, refresh
+from folioscope.plans.refresh import Refresh, _signed, _term_counts, refresh
 from folioscope.settings import Limits
 
 
@@ -99,3 +99,18 @@ def test_other_settings_and_sources_are_refused(spark, tmp_path):
     put(source / "b.jsonl", [("99", "More", "stars")])
     with pytest.raises(ValueError, match="other settings"):
         prepare(spark, str(source), ready, config)
+
+
+def test_term_counts_shuffle_sums_and_no_rows(spark, monkeypatch, tmp_path):
+    """Counts of a run come from sums of whole tasks: no row's place is shuffled, and long lists are counted in several steps."""
+    monkeypatch.setattr("folioscope.operators.features.COUNTED", 7)
+    texts = ["star star galaxy", "", None, "galaxy star star galaxy", "star", "nova"] * 3
+    rows = [(f"f{i % 2}", 1, 0, i, t) for i, t in enumerate(texts)]
+    spark.createDataFrame(rows, "path string, loaded int, block long, place long, final_text string").repartition(2, "place").write.parquet(str(tmp_path / "clean"))
+    clean = spark.read.parquet(str(tmp_path / "clean"))
+    counts = _signed(_term_counts(clean), _term_counts(clean.where("final_text = 'nova' and place < 12")), "term", "ctf", "df")
+    assert counts._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1
+    assert counts.dtypes == [("term", "string"), ("ctf", "bigint"), ("df", "bigint")]
+    assert {r.term: (r.ctf, r.df) for r in counts.collect()} == {
+        "star": (15, 9), "galaxy": (9, 6), "nova": (1, 1), "star star": (6, 6), "star galaxy": (6, 6), "galaxy star": (3, 3)
+    }
