@@ -80,6 +80,29 @@ def test_empty_rows_and_tables(spark, tmp_path):
         postings.build_index(spark.createDataFrame([("a", 0, [1], [-1.0])], SPARSE), str(tmp_path / "bad"))
 
 
+@pytest.mark.parametrize("step", [300, 10**9], ids=["by size", "by cores"])
+def test_sums_of_a_query_and_a_row_are_not_shuffled(spark, tmp_path, monkeypatch, step):
+    """Postings are dealt once by their row: the same rows are left as by adding up shuffled sums, repeated ids and places included."""
+    monkeypatch.setattr(postings, "BLOCK_ROWS", 16)
+    monkeypatch.setattr(postings, "PROBES", 4)
+    monkeypatch.setattr(postings, "STEP", step)
+    rng = random.Random(12)
+    plain = made_up(spark, rng, 300, 40).collect()
+    more = [(r.id, r.seq, r.term_idx, r.weight) for r in plain] + [(r.id, r.seq, r.term_idx, r.weight) for r in plain[:20]] + [("d5", 900, [0, 3], [1.0, 2.0]), ("lost", None, [0, 1], [1.0, 1.0])]
+    rows = spark.createDataFrame(more, SPARSE).repartition(3)
+    index = postings.build_index(rows, str(tmp_path / "index"))
+    queries = spark.createDataFrame([(f"d{i}",) for i in range(0, 60, 5)], "query_id string")
+    found = {}
+    for way, limits in (("shuffled", Limits(broadcast_rows=3)), ("dealt", Limits())):
+        with monkeypatch.context() as patch:
+            if way == "dealt":
+                patch.setattr(postings, "_able_by_query", lambda *_: pytest.fail("sums are shuffled"))
+            got = lists(postings.topk_indexed(index, queries, 4, limits, root=str(tmp_path / way)))
+        pairs = spark.read.parquet(str(tmp_path / way / "pairs")).where("seq is not null")
+        found[way] = got, sorted((r.query_id, r.seq) for r in pairs.collect())
+    assert found["dealt"] == found["shuffled"] and found["dealt"][1]
+
+
 def test_time_of_a_long_row_follows_its_entries(spark, tmp_path):
     """The length of a row is added up once, not once for each of its entries."""
     n = 40_000
