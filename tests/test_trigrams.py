@@ -72,3 +72,17 @@ def test_lists_of_rows_are_grouped_not_single_entries(spark, tmp_path):
     assert {r.gram: r.n for r in index.grams.collect()} == {g: len(rows) for g, rows in found.items()}
     partial = spark.read.parquet(str(tmp_path / "index" / "partial"))
     assert partial.count() <= 2 * len(found) and partial.agg(F.sum(F.size("rows"))).first()[0] == 2000 * 14
+
+
+def test_lists_do_not_depend_on_the_size_of_batches(spark, tmp_path):
+    """A session that hands on few rows at a time has the same lists: a task's rows are gathered first."""
+    rows = [(str(i), None, f"Galaxy {i % 3}", "", "x", i) for i in range(500)]
+    papers, name = spark.createDataFrame(rows, PAPERS).coalesce(2), "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before, found = spark.conf.get(name), []
+    try:
+        for size in ("10000", "16"):
+            spark.conf.set(name, size)
+            found.append(sorted((r.gram, r.rows) for r in trigrams._partial_postings(papers).collect()))
+    finally:
+        spark.conf.set(name, before)
+    assert found[0] == found[1] and len(found[0]) <= 2 * len({gram for gram, _ in found[0]})
